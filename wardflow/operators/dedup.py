@@ -37,7 +37,7 @@ def sum_repeats(df: DataFrame, keys: list[str], sums: list[str], firsts: list[st
     once = df.groupBy(*data).agg(F.min(order).alias("_order"))
     merged = once.groupBy(*keys).agg(
         F.count("*").alias("_rows"),
-        *[F.min_by(c, F.when(F.col(c).isNotNull(), F.col("_order"))).alias(c) for c in firsts],
+        *[F.min_by(c, F.when(F.col(c).isNotNull(), F.struct("_order", c))).alias(c) for c in firsts],
         *[F.sum(c).cast("int").alias(c) for c in sums],
     )
     repeats = merged.agg(F.coalesce(F.max("_rows") > 1, F.lit(False))).scalar()

@@ -56,7 +56,11 @@ def bed_capacity(w: Warehouse, settings: Settings) -> DataFrame:
 
 
 def monthly(w: Warehouse, settings: Settings) -> DataFrame:
-    """Every capacity row with the stays of its month; both sides are grouped on the join keys already."""
+    """Every capacity row with the stays of its month; both sides are grouped on the join keys already.
+
+    All reports below and in the sibling modules start from these rows. To run several of them,
+    write this frame to a table once and pass it to each as ``rows``.
+    """
     capacity = b.capacity_by_month(w.beds, settings.scope)
     activity = s.monthly_activity(stays_of(w, settings), settings.scope)
     zero = F.lit(0).cast("long")
@@ -69,11 +73,11 @@ def monthly(w: Warehouse, settings: Settings) -> DataFrame:
     )
 
 
-def admissions_per_bed(w: Warehouse, settings: Settings) -> DataFrame:
+def admissions_per_bed(w: Warehouse, settings: Settings, rows: DataFrame | None = None) -> DataFrame:
     """Admissions and occupied days against public beds."""
+    rows = rows or monthly(w, settings)
     return (
-        monthly(w, settings)
-        .transform(b.with_labels, w.facilities, w.bed_types, settings.labels)
+        rows.transform(b.with_labels, w.facilities, w.bed_types, settings.labels)
         .select(
             *SPAN,
             *MOVES,
@@ -105,13 +109,13 @@ def band(beds: Column, days: Column, rate: Column, settings: Settings) -> Column
     )
 
 
-def occupancy_bands(w: Warehouse, settings: Settings) -> DataFrame:
+def occupancy_bands(w: Warehouse, settings: Settings, rows: DataFrame | None = None) -> DataFrame:
     """Occupancy of total and public beds, banded on the public rate."""
     total_rate = ratio("occupied_days", "bed_days_total", 100)
     public_rate = ratio("occupied_days", "bed_days_public", 100)
+    rows = rows or monthly(w, settings)
     return (
-        monthly(w, settings)
-        .transform(b.with_labels, w.facilities, w.bed_types, settings.labels)
+        rows.transform(b.with_labels, w.facilities, w.bed_types, settings.labels)
         .select(
             *SPAN,
             *MOVES,

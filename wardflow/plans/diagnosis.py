@@ -14,13 +14,13 @@ from wardflow.settings import Settings
 FACILITY_TYPE = ["facility_id", "bed_type"]
 
 
-def _rolled_up(w: Warehouse, settings: Settings) -> DataFrame:
+def _rolled_up(w: Warehouse, settings: Settings, rows: DataFrame | None) -> DataFrame:
     sums = ["admissions", "occupied_days", "bed_days_total", "bed_days_public"]
     starts = ["first_admit", "first_discharge"]
     ends = ["last_admit", "last_discharge"]
+    rows = rows or monthly(w, settings)
     return (
-        monthly(w, settings)
-        .groupBy(*FACILITY_TYPE)
+        rows.groupBy(*FACILITY_TYPE)
         .agg(
             F.count("*").alias("months"),
             rounded(ratio(F.sum("beds_total"), F.count("beds_total")), 1).alias("beds_total_mean"),
@@ -61,18 +61,18 @@ SUMMARY = [
 ]
 
 
-def facility_summary(w: Warehouse, settings: Settings) -> DataFrame:
-    return _rolled_up(w, settings).select(*SUMMARY)
+def facility_summary(w: Warehouse, settings: Settings, rows: DataFrame | None = None) -> DataFrame:
+    return _rolled_up(w, settings, rows).select(*SUMMARY)
 
 
-def facility_diagnosis(w: Warehouse, settings: Settings) -> DataFrame:
+def facility_diagnosis(w: Warehouse, settings: Settings, rows: DataFrame | None = None) -> DataFrame:
     """Occupancy pattern and gap alert per facility and type; rounded rates decide.
 
     The network's mean stay has one row per bed type of the scope.
     """
     names, t, scope = settings.labels, settings.thresholds, settings.scope
-    rows = _rolled_up(w, settings)
-    network = rows.groupBy("bed_type").agg(
+    units = _rolled_up(w, settings, rows)
+    network = units.groupBy("bed_type").agg(
         rounded(ratio(F.sum("los_days"), F.sum("los_n")), 2).alias("network_mean_days")
     )
     total, public = F.col("occupancy_total_pct"), F.col("occupancy_pct")
@@ -89,7 +89,7 @@ def facility_diagnosis(w: Warehouse, settings: Settings) -> DataFrame:
     )
     gap = F.col("gap_pct") > t.gap_above
     return (
-        rows.join(F.broadcast(network), "bed_type", "left")
+        units.join(F.broadcast(network), "bed_type", "left")
         .transform(b.with_labels, w.facilities, w.bed_types, names)
         .select(
             F.lit(scope.start).alias("scope_start"),
@@ -118,7 +118,7 @@ ACTIONS = {
 }
 
 
-def investment_quadrant(w: Warehouse, settings: Settings) -> DataFrame:
+def investment_quadrant(w: Warehouse, settings: Settings, rows: DataFrame | None = None) -> DataFrame:
     """Quadrant of the two rates with the suggested action; a large gap comes first."""
     names = settings.labels
     pattern = F.col("pattern")
@@ -128,7 +128,7 @@ def investment_quadrant(w: Warehouse, settings: Settings) -> DataFrame:
         .when(pattern == names.high_public_only, ACTIONS["high_public_only"])
         .when(pattern == names.low_low, ACTIONS["low_low"])
     )
-    return facility_diagnosis(w, settings).select(
+    return facility_diagnosis(w, settings, rows).select(
         "facility_id",
         "facility_name",
         "bed_type",

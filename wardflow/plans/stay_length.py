@@ -39,14 +39,14 @@ def network_totals(rows: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def network_stats(w: Warehouse, settings: Settings) -> DataFrame:
-    return network_totals(monthly(w, settings), "month_start", "bed_type").withColumns(
+def network_stats(w: Warehouse, settings: Settings, rows: DataFrame | None = None) -> DataFrame:
+    return network_totals(rows or monthly(w, settings), "month_start", "bed_type").withColumns(
         {"network_mean": rounded("network_mean", 2), "network_sd": rounded("network_sd", 2)}
     )
 
 
-def facility_stats(w: Warehouse, settings: Settings) -> DataFrame:
-    return counted(monthly(w, settings)).select(
+def facility_stats(w: Warehouse, settings: Settings, rows: DataFrame | None = None) -> DataFrame:
+    return counted(rows or monthly(w, settings)).select(
         *UNIT,
         "admissions",
         "los_days",
@@ -55,13 +55,13 @@ def facility_stats(w: Warehouse, settings: Settings) -> DataFrame:
     )
 
 
-def length_of_stay(w: Warehouse, settings: Settings) -> DataFrame:
+def length_of_stay(w: Warehouse, settings: Settings, rows: DataFrame | None = None) -> DataFrame:
     """Mean stay per facility, type and month with its z score within the network.
 
     The network side has at most one row per month and bed type of the scope.
     """
     names, limit = settings.labels, settings.thresholds.z_limit
-    rows = monthly(w, settings)
+    rows = rows or monthly(w, settings)
     network = F.broadcast(network_totals(rows, "month_start", "bed_type"))
     mean = F.when(F.col("admitted"), mean_of("admissions", "los_days"))
     error = F.col("network_sd") / F.sqrt(F.col("admissions").cast("double"))
@@ -99,9 +99,9 @@ def length_of_stay(w: Warehouse, settings: Settings) -> DataFrame:
     )
 
 
-def stay_means(w: Warehouse, settings: Settings) -> DataFrame:
+def stay_means(w: Warehouse, settings: Settings, rows: DataFrame | None = None) -> DataFrame:
     """Mean stay over the whole scope per facility and type, next to the network's mean per type."""
-    rows = monthly(w, settings)
+    rows = rows or monthly(w, settings)
     per_unit = counted(rows).groupBy("facility_id", "bed_type").agg(
         F.sum("admissions").alias("n"), F.sum("los_days").alias("days")
     )

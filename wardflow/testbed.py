@@ -35,9 +35,11 @@ def _month_index(day):
     return (F.year(day) - SCOPE.start.year) * 12 + F.month(day) - SCOPE.start.month
 
 
-def admissions(spark: SparkSession, sf_dir: str, residence: bool = False) -> DataFrame:
+def admissions(
+    spark: SparkSession, sf_dir: str, residence: bool = False, lineitem: DataFrame | None = None
+) -> DataFrame:
     """Claims; ``residence`` needs two joins, so only the reports by residence ask for it."""
-    li = table(spark, sf_dir, "lineitem")
+    li = lineitem or table(spark, sf_dir, "lineitem")
     if residence:
         homes = (
             table(spark, sf_dir, "orders")
@@ -74,6 +76,33 @@ def admissions(spark: SparkSession, sf_dir: str, residence: bool = False) -> Dat
     return li.withColumn("rebill", F.explode(copies)).select(*columns, *(["residence"] if residence else []))
 
 
+def raw_admissions(claims: DataFrame) -> DataFrame:
+    """Claims in the landed layout: everything text, ids and codes without zeros, dates unparsed."""
+    number = F.col("facility_id").cast("long").cast("string")
+    columns = {
+        "UF_ZI": F.lit("26"),
+        "ANO_CMPT": F.substring("period", 1, 4),
+        "MES_CMPT": F.substring("period", 5, 2).cast("int").cast("string"),
+        "ESPEC": F.col("specialty").cast("int").cast("string"),
+        "CGC_HOSP": F.when(F.col("l_partkey") % 3 == 0, "").otherwise(F.col("l_partkey").cast("string")),
+        "MUNIC_MOV": F.lit(" 261160 "),
+        "QT_DIARIAS": F.col("billed_days").cast("string"),
+        "DT_INTER": F.date_format("admit_date", "yyyyMMdd"),
+        "DT_SAIDA": F.coalesce(F.date_format("discharge_date", "yyyyMMdd"), F.lit("00000000")),
+        "DIAS_PERM": F.concat(F.col("reported_days").cast("string"), F.lit(".0")),
+        "IDENT": F.concat(F.lit("\t"), "claim_kind"),
+        "N_AIH": F.concat(F.lit(" "), "claim_id", F.lit(" ")),
+        "CNES": F.concat(number, F.lit(".0")),
+        "SEQUENCIA": F.col("seq"),
+        "PROC_REA": F.col("l_partkey").cast("string"),
+        "MUNIC_RES": F.lit(None).cast("string"),
+        "IDADE": F.col("age").cast("string"),
+        "SEXO": F.col("sex"),
+        "MORTE": F.col("died"),
+    }
+    return claims.select(*[c.alias(n) for n, c in columns.items()])
+
+
 def _bed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     s, t, c = F.col("s_suppkey"), F.col("t"), F.col("c")
     load = (s * 7 + t * 3 + c) % 9
