@@ -248,9 +248,7 @@ QUERIES = {
     "length_violations": lambda spark, d: checks.length_violations(
         tb.raw_beds(spark, d), {"cnes": 4, "beds_total": 2, "period": 6}
     ),
-    "null_key_report": lambda spark, d: checks.null_key_report(
-        tb.raw_beds(spark, d).select(*[f.cleaned() for f in CLEAN_BED.fields if f.name != "own_flag"]), list(BED.key)
-    ),
+    "null_key_report": lambda spark, d: checks.null_key_report(load.typed(_flagged(spark, d), CLEAN_BED), list(BED.key)),
     "filter_region_code": _by_region_code,
     "filter_region_name": _by_region_name,
     "scope_filter_report": lambda spark, d: checks.scope_report(
@@ -290,14 +288,19 @@ SELECT facility_id, period, facility_name, CAST(NULL AS VARCHAR) AS legal_name,
 FROM (SELECT *, row_number() OVER (PARTITION BY facility_id, period ORDER BY k DESC) AS rn FROM raw_facility)
 WHERE rn = 1"""
 BED_SQL = f"""
-SELECT facility_id, bed_code, min(bed_type) AS bed_type, period,
-       CAST(coalesce(sum(beds_total), 0) AS INTEGER) AS beds_total,
-       CAST(coalesce(sum(beds_public), 0) AS INTEGER) AS beds_public, min(own_flag) AS own_flag
-FROM (SELECT DISTINCT {FACILITY_ID} AS facility_id, bed_code, bed_type, {DIGITS} AS period,
-             TRY_CAST(beds_total AS INTEGER) AS beds_total, TRY_CAST(beds_public AS INTEGER) AS beds_public,
-             CASE WHEN payer_id = '00000000000000' THEN NULL WHEN payer_id = '{OWN}' THEN 1 ELSE 0 END AS own_flag
-      FROM raw_bed WHERE {TRIMMED} IS NOT NULL)
-GROUP BY facility_id, bed_code, period"""
+, once AS (
+  SELECT DISTINCT {FACILITY_ID} AS facility_id, bed_code, bed_type, {DIGITS} AS period,
+         TRY_CAST(beds_total AS INTEGER) AS beds_total, TRY_CAST(beds_public AS INTEGER) AS beds_public,
+         CASE WHEN payer_id = '00000000000000' THEN NULL WHEN payer_id = '{OWN}' THEN 1 ELSE 0 END AS own_flag
+  FROM raw_bed WHERE {TRIMMED} IS NOT NULL),
+fill AS (SELECT CASE WHEN max(n) > 1 THEN 0 END AS zero
+         FROM (SELECT COUNT(*) AS n FROM once GROUP BY facility_id, bed_code, period)),
+clean_bed AS (
+  SELECT facility_id, bed_code, min(bed_type) AS bed_type, period,
+         CAST(coalesce(sum(beds_total), (SELECT zero FROM fill)) AS INTEGER) AS beds_total,
+         CAST(coalesce(sum(beds_public), (SELECT zero FROM fill)) AS INTEGER) AS beds_public, min(own_flag) AS own_flag
+  FROM once GROUP BY facility_id, bed_code, period)
+"""
 ADMISSION_SQL = """
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY claim_id, period, claim_kind ORDER BY
@@ -381,15 +384,19 @@ SELECT * EXCLUDE (rn) FROM (
            beds_total DESC, beds_public DESC, payer_id DESC) AS rn FROM raw_bed) WHERE rn = 1""",
     "dedup_sum": CORE
     + """
-SELECT cnes, bed_code, period, arg_min(bed_type, copy_no) AS bed_type, arg_min(payer_id, copy_no) AS payer_id,
-       CAST(coalesce(sum(beds_total), 0) AS INTEGER) AS beds_total,
-       CAST(coalesce(sum(beds_public), 0) AS INTEGER) AS beds_public
-FROM (SELECT cnes, bed_code, period, bed_type, payer_id, TRY_CAST(beds_total AS INTEGER) AS beds_total,
-             TRY_CAST(beds_public AS INTEGER) AS beds_public, min(copy_no) AS copy_no FROM raw_bed GROUP BY ALL)
-GROUP BY cnes, bed_code, period""",
+, once AS (
+  SELECT cnes, bed_code, period, bed_type, payer_id, TRY_CAST(beds_total AS INTEGER) AS beds_total,
+         TRY_CAST(beds_public AS INTEGER) AS beds_public, min(copy_no) AS copy_no FROM raw_bed GROUP BY ALL),
+fill AS (SELECT CASE WHEN max(n) > 1 THEN 0 END AS zero
+         FROM (SELECT COUNT(*) AS n FROM once GROUP BY cnes, bed_code, period))
+SELECT cnes, bed_code, period, first(bed_type ORDER BY copy_no, bed_type) AS bed_type,
+       first(payer_id ORDER BY copy_no, payer_id) AS payer_id,
+       CAST(coalesce(sum(beds_total), (SELECT zero FROM fill)) AS INTEGER) AS beds_total,
+       CAST(coalesce(sum(beds_public), (SELECT zero FROM fill)) AS INTEGER) AS beds_public
+FROM once GROUP BY cnes, bed_code, period""",
     "dedup_max_sequence": CORE + _kept("admission"),
     "clean_facilities": CORE + RAW_FACILITY + FACILITY_SQL,
-    "clean_beds": CORE + BED_SQL,
+    "clean_beds": CORE + BED_SQL + "SELECT * FROM clean_bed",
     "clean_admissions": CORE + ADMISSION_SQL,
     "incremental_ingest": CORE + ADMISSION_SQL,
     "orphan_split": CORE
@@ -417,9 +424,10 @@ SELECT claim_id, period, claim_kind, coalesce(b.facility_id, s.facility_id) AS f
 FROM stored s FULL JOIN batch b USING (claim_id, period, claim_kind)""",
     "load_summary": CORE
     + RAW_FACILITY
+    + BED_SQL
     + f"""
 SELECT 'facility' AS table_name, COUNT(*) AS row_count FROM ({FACILITY_SQL})
-UNION ALL SELECT 'bed', COUNT(*) FROM ({BED_SQL})
+UNION ALL SELECT 'bed', COUNT(*) FROM clean_bed
 UNION ALL SELECT 'admission', COUNT(*) FROM ({ADMISSION_SQL})""",
     "period_years": CORE + "SELECT DISTINCT CAST(substr(period, 1, 4) AS INTEGER) AS year FROM bed",
     "missing_periods": CORE

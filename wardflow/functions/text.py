@@ -6,14 +6,26 @@ from pyspark.sql import Column, functions as F
 
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
+# Every character that counts as white space.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009"
+    "\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def text(c) -> Column:
-    """Text without surrounding white space (tabs and no-break spaces too); empty becomes null."""
-    return F.nullif(F.regexp_replace(_col(c).cast("string"), r"(?U)^\s+|\s+$", ""), F.lit(""))
+    """Text without surrounding white space (tabs and no-break spaces too); empty becomes null.
+
+    Most values are done after the plain trim: a first and a last character between ``!`` and
+    ``~`` need no look at the long list of white space characters.
+    """
+    t = F.trim(_col(c).cast("string"))
+    plain = F.ascii(t).between(33, 126) & F.ascii(F.substring(t, -1, 1)).between(33, 126)
+    return F.when(plain, t).otherwise(F.nullif(F.btrim(t, F.lit(WHITE_SPACE)), F.lit("")))
 
 
 def zero_fill(c, width: int) -> Column:
@@ -22,15 +34,25 @@ def zero_fill(c, width: int) -> Column:
     return F.when(F.length(c) < width, F.lpad(c, width, "0")).otherwise(c)
 
 
+def without_fraction(c) -> Column:
+    """Drops the ``.0`` that a float column leaves behind an identifier."""
+    c = _col(c)
+    return F.when(F.endswith(c, F.lit(".0")), F.regexp_replace(c, r"\.0$", "")).otherwise(c)
+
+
 def code(c, width: int | None = None) -> Column:
-    """Identifier kept as text: drops the ``.0`` a float column leaves behind, then zero-fills."""
-    out = F.regexp_replace(text(c), r"\.0$", "")
+    """Identifier kept as text, without a trailing ``.0`` and zero-filled."""
+    out = without_fraction(text(c))
     return zero_fill(out, width) if width else out
 
 
+def digits(c) -> Column:
+    return F.regexp_replace(_col(c), r"[^0-9]", "")
+
+
 def period(c) -> Column:
     """Month as ``yyyyMM``: digits only. Check with :func:`bad_period` before relying on it."""
-    return F.regexp_replace(text(c), r"[^0-9]", "")
+    return digits(text(c))
 
 
 def bad_period(c) -> Column:
@@ -38,20 +60,27 @@ def bad_period(c) -> Column:
     return F.coalesce(F.length(period(c)) != 6, F.lit(False))
 
 
-def _number(c) -> Column:
-    t = text(c)
-    return F.when(t.rlike(NUMBER), t.try_cast("double"))
+def whole(t) -> Column:
+    """Whole number from trimmed text.
+
+    Patterns decide first which cast cannot fail: a failing ``try_cast`` costs an exception per row.
+    """
+    t = _col(t)
+    n = t.cast("double")
+    fits = (n == F.floor(n)) & (F.abs(n) < 2**31)
+    return F.when(t.rlike(r"^[+-]?[0-9]{1,9}$"), t.cast("int")).when(
+        t.rlike(NUMBER), F.when(fits, n.cast("int"))
+    )
 
 
 def integer(c) -> Column:
     """Whole number, lenient: text that is no number becomes null, ``'12.0'`` becomes 12."""
-    n = _number(c)
-    return F.when(n == F.floor(n), n.try_cast("int"))
+    return whole(text(c))
 
 
 def bad_integer(c) -> Column:
     """True for a number that is fractional or does not fit, which must stop a load."""
-    return _number(c).isNotNull() & integer(c).isNull()
+    return F.coalesce(text(c).rlike(NUMBER), F.lit(False)) & integer(c).isNull()
 
 
 def day(c, pattern: str = "yyyyMMdd") -> Column:

@@ -55,8 +55,32 @@ def consolidate_facilities(raw: DataFrame) -> DataFrame:
 
 def cleaned(raw: DataFrame, spec: TableSpec, carry: list[str] | None = None) -> DataFrame:
     """Warehouse columns of the raw rows that have a complete key; ``carry`` columns come along."""
-    rows = raw.select(*[f.cleaned() for f in spec.fields], *(carry or []))
-    return checks.drop_null_keys(rows, list(spec.key))
+    return checks.drop_null_keys(typed(raw, spec, carry), list(spec.key))
+
+
+def typed(raw: DataFrame, spec: TableSpec, carry: list[str] | None = None) -> DataFrame:
+    """Warehouse columns of the raw rows.
+
+    Cleaning goes in steps, each reading the columns of the one before, so that no expression is
+    evaluated once per mention of its result.
+    """
+    types = dict(raw.dtypes)
+
+    def first(f):
+        if f.kind == "date":
+            return F.col(f.source) if types[f.source] == "date" else tx.day(f.source, "yyyy-MM-dd")
+        return tx.text(f.source)
+
+    steps = {
+        "code": {f.name: tx.without_fraction(f.name) for f in spec.fields_of("code")},
+        "width": {f.name: tx.zero_fill(f.name, f.width) for f in spec.fields if f.width},
+        "period": {f.name: tx.digits(f.name) for f in spec.fields_of("period")},
+        "integer": {f.name: tx.whole(f.name) for f in spec.fields_of("integer")},
+    }
+    rows = raw.select(*[first(f).alias(f.name) for f in spec.fields], *(carry or []))
+    for step in steps.values():
+        rows = rows.withColumns(step)
+    return rows
 
 
 def _order(raw: DataFrame, order: list[str] | None) -> list[str]:

@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, types as T
-
-from wardflow.functions import text as tx
+from pyspark.sql import types as T
 
 # Placeholder ids, the payer id that marks own management, and the region kept.
 EMPTY_PAYER_ID = "00000000000000"
@@ -27,16 +25,6 @@ class Field:
     width: int | None = None
     limit: int | None = None
 
-    def cleaned(self) -> Column:
-        make = {
-            "text": lambda: tx.text(self.source),
-            "code": lambda: tx.code(self.source, self.width),
-            "period": lambda: tx.period(self.source),
-            "integer": lambda: tx.integer(self.source),
-            "date": lambda: tx.day(self.source, "yyyy-MM-dd"),
-        }[self.kind]
-        return make().alias(self.name)
-
     @property
     def type(self) -> T.DataType:
         return {"integer": T.IntegerType(), "date": T.DateType()}.get(self.kind, T.StringType())
