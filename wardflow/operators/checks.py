@@ -91,22 +91,23 @@ def require_lengths(df: DataFrame, limits: dict[str, int], what: str) -> None:
         )
 
 
-def require_integers(df: DataFrame, columns: list[str], what: str) -> None:
-    """Runs a job; fails when a number is fractional or does not fit."""
-    if not columns:
-        return
-    counts = df.agg(*[F.count_if(tx.bad_integer(c)).alias(c) for c in columns]).first().asDict()
-    bad = {c: n for c, n in counts.items() if n}
-    if bad:
-        raise ValueError(f"{what}: values that are no whole 32-bit number: {bad}")
-
-
 def require_table(raw: DataFrame, spec: TableSpec) -> None:
-    """All guards that look at the raw rows of one table."""
+    """All guards on the raw rows of one table, from a single pass.
+
+    Fails on months that are no ``yyyyMM`` and on numbers that are fractional or do not fit.
+    """
     require_columns(raw, [f.source for f in spec.fields], spec.name)
-    for f in spec.fields_of("period"):
-        require_periods(raw, f.source, spec.name)
-    require_integers(raw, [f.source for f in spec.fields_of("integer")], spec.name)
+    periods = [f.source for f in spec.fields_of("period")]
+    numbers = [f.source for f in spec.fields_of("integer")]
+    marks = [F.count_if(tx.bad_period(c)).alias(f"p_{c}") for c in periods]
+    marks += [F.count_if(tx.bad_integer(c)).alias(f"n_{c}") for c in numbers]
+    counts = raw.agg(*marks).first().asDict()
+    for c in periods:
+        if counts[f"p_{c}"]:
+            require_periods(raw, c, spec.name)
+    bad = {c: counts[f"n_{c}"] for c in numbers if counts[f"n_{c}"]}
+    if bad:
+        raise ValueError(f"{spec.name}: values that are no whole 32-bit number: {bad}")
 
 
 def split_orphans(df: DataFrame, column: str, domain: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -138,23 +138,27 @@ def _staged(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
 
 
 def _stage_table(spark, raw, spec, warehouse, known):
-    """Everything of one table except publishing: returns its merged partitions, counts and rejects."""
+    """Everything of one table except publishing: returns its merged partitions and counts.
+
+    The cleaned rows are written once; the splits by domain are plain filters over those files.
+    """
     checks.require_table(raw, spec)
-    rows, rejects = without_orphans(PREPARE[spec.name](raw, spec), spec, known)
-    batch = _staged(spark, rows, f"{warehouse}/_staging/batch/{spec.name}")
-    checks.require_lengths(batch, spec.limits, spec.name)
+    prepared = _staged(spark, PREPARE[spec.name](raw, spec), f"{warehouse}/_staging/prepared/{spec.name}")
+    checks.require_lengths(prepared, spec.limits, spec.name)
+    batch, rejects = without_orphans(prepared, spec, known)
     rejected = 0
     for column, bad in rejects.items():
         landed.write_rejects(bad, f"{warehouse}/_rejects", spec.name, column)
-        rejected += spark.read.csv(f"{warehouse}/_rejects/{spec.name}/{column}", header=True).count()
+        rejected += bad.count()
+    accepted = batch.count()
     stored = landed.read_table(spark, f"{warehouse}/{spec.name}", spec.schema)
     if stored is None:
-        return batch, batch.count(), rejected
+        return batch, accepted, rejected
     # The key holds the period, so only the batch's months can change; there are few of them.
-    months = [r.period for r in batch.select("period").distinct().collect()]
+    months = [r.period for r in prepared.select("period").distinct().collect()]
     touched = stored.select(*spec.columns).filter(F.col("period").isin(months))
     merged = upsert(touched, batch, list(spec.key))
-    return _staged(spark, merged, f"{warehouse}/_staging/merged/{spec.name}"), batch.count(), rejected
+    return _staged(spark, merged, f"{warehouse}/_staging/merged/{spec.name}"), accepted, rejected
 
 
 def _publish(staged: DataFrame, path: str) -> None:
