@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import functions as F, types as T
 
@@ -205,8 +206,7 @@ def _load_summary(spark, d):
 def _incremental_ingest(spark, d):
     """Streams the claim file into a scratch warehouse and returns the resulting table."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    scratch = f"{shared.rstrip('/')}/ingest-{spark.sparkContext.applicationId}-{id(d)}" if shared else None
-    scratch = scratch or tempfile.mkdtemp(prefix="ingest-")
+    scratch = f"{shared.rstrip('/')}/ingest-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="ingest-")
     ingest_new_files(
         spark,
         f"{d}/lineitem.parquet",
