@@ -280,3 +280,17 @@ def test_hot_key_keeps_every_row(spark):
     stays = st.stay_base(rows, domains.specialty_bridge(spark), SCOPE)
     assert stays.count() == 20001
     assert one(stays.filter("claim_id = 'hot'"), "stay_days") == [4]
+
+
+def test_reports_from_precomputed_months(spark):
+    rows = [claim("a", date(2023, 1, 3), billed=4), claim("b", date(2023, 2, 5), billed=40)]
+    w = house(spark, year_of_beds(3, 2), rows)
+    months = capacity.monthly(w, SETTINGS)
+    for report in (
+        capacity.admissions_per_bed,
+        capacity.occupancy_bands,
+        stay_length.length_of_stay,
+        stay_length.stay_means,
+        diagnosis.facility_diagnosis,
+    ):
+        assert report(w, SETTINGS, rows=months).collect() == report(w, SETTINGS).collect()

@@ -6,7 +6,7 @@ from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from wardflow.functions.dates import month_of, stay_days
+from wardflow.functions.dates import stay_days
 from wardflow.functions.numbers import ratio, rounded, total
 from wardflow.operators import beds as b, dedup, stays as s
 from wardflow.operators.beds import UNIT
