@@ -15,12 +15,12 @@ from pyspark.sql.window import Window
 
 from .shared import checkpointed, folded
 
-#: Counters of the sketch. Each digest that holds over about a thousandth of the rows is among its candidates.
+#: Counters of one sketch: each digest with over a thousandth of the rows that a sketch has read is among its items.
 TRACKED = 8192
-#: Most candidates that are verified and broadcast; one takes about 100 bytes.
-CANDIDATES = 8192
-#: Sketches are merged in so many groups first, so that the last merge reads a fixed number of them.
-MERGES = 64
+#: Sketches over the rows, and most items that one names; so at most SKETCHES * ITEMS hashes of 8 bytes are broadcast.
+SKETCHES, ITEMS = 64, 2400
+#: Digests with at least a row in so many are split off; so at most that many winners of about 100 bytes are broadcast.
+SHARE = 4096
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -34,25 +34,26 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
-def frequent(rows: DataFrame, tracked: int = TRACKED, candidates: int = CANDIDATES) -> DataFrame:
-    """digest, group_size and winner of the digests found frequent, counted exactly: about `candidates` rows at most.
+def frequent(rows: DataFrame, share: int = SHARE) -> DataFrame:
+    """digest, group_size and winner of the digests found frequent, counted exactly: `share` rows at most.
 
-    The sketch holds 64-bit hashes of the digests; if two digests share a frequent hash, both are counted.
+    The rows are summarised in SKETCHES parts. A digest with a thousandth of all rows has a thousandth of those of some
+    part, so the union of what the parts name misses none. Sketches hold 64-bit hashes; if two digests share one, both
+    are counted.
     """
-    key = F.xxhash64("digest")
-    task = F.pmod(F.shiftright("row", 33), F.lit(MERGES))
-    sketches = rows.groupBy(task.alias("task")).agg(F.expr(f"approx_top_k_accumulate(xxhash64(digest), {tracked})").alias("s"))
-    items = sketches.agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {tracked}), {candidates})").alias("items"))
-    named = checkpointed(items.select(F.explode("items.item").alias("key")))
-    return checkpointed(
-        rows.join(F.broadcast(named), key == named["key"], "left_semi")
+    part = F.pmod(F.shiftright("row", 33), F.lit(SKETCHES))
+    items = rows.groupBy(part.alias("part")).agg(F.expr(f"approx_top_k(xxhash64(digest), {ITEMS}, {TRACKED})").alias("items"))
+    named = checkpointed(items.select(F.explode("items.item").alias("key")).distinct())
+    counted = (
+        rows.join(F.broadcast(named), F.xxhash64("digest") == named["key"], "left_semi")
         .groupBy("digest")
         .agg(F.count(F.lit(1)).alias("group_size"), F.max(F.struct("doc_id", "row")).alias("winner"))
     )
+    return checkpointed(counted.filter(F.col("group_size") * share >= F.lit(rows.count())))
 
 
 def exact_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tracked: int = TRACKED, candidates: int = CANDIDATES
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: int = SHARE
 ) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -61,7 +62,7 @@ def exact_groups(
     an empty result; columns other than the two named are not read, whatever they are called.
     """
     rows = digests(docs, id_col, text_col)
-    heavy = frequent(rows, tracked, candidates)
+    heavy = frequent(rows, share)
     split = rows.join(F.broadcast(heavy), "digest", "left")
     named = split.filter(F.col("group_size").isNotNull())
     same = Window.partitionBy("digest")

@@ -2,11 +2,46 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, exact_dedup, mixing
-from .shared import documents
+from . import bpe_automaton, chat_format, compression, exact_dedup, language_id, mixing, quality_rules
+from .shared import documents, fold_number
+
+#: Where the vocabulary files are; read on the driver and sent to the executors by Spark.
+TOKENIZERS = os.environ.get("TOKENIZER_FOLDER", "/opt/tokenizers")
+#: Least score of a document that counts as good.
+GOOD = 0.3
+
+
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(documents(spark, sf_dir))
+
+
+def quality_model(docs: DataFrame, labels: DataFrame) -> compression.Model:
+    """The classifier learnt from the rows outside fold 0 of 5."""
+    return compression.fit(docs, labels.filter(fold_number(F.col("doc_id"), 5) != 0))
+
+
+def op2_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = quality_model(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return compression.scored(docs, model).select(
+        "doc_id", (fold_number(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= GOOD).cast("int").alias("predicted")
+    )
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = fold_number(F.col("doc_id"), 4) == 2
+    net = language_id.fit(docs.filter(~held_out))
+    return language_id.predicted(docs, net).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op6_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_automaton.token_digest(documents(spark, sf_dir), f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +69,10 @@ def op10_mix_wfq(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
+    "op2_compression_classifier": op2_compression_classifier,
+    "op4_language_id": op4_language_id,
+    "op6_bpe_automaton": op6_bpe_automaton,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_chat_prefix_target": op9_chat_prefix_target,
     "op10_mix_wfq": op10_mix_wfq,
