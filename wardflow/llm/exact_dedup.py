@@ -7,13 +7,11 @@ the largest groups never meet in one task. The remaining digests are grouped by
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import checkpointed, folded
+from .shared import checkpointed, folded, rows_kept
 
 #: Counters of one sketch: each digest with over a thousandth of the rows that a sketch has read is among its items.
 TRACKED = 8192
@@ -24,11 +22,12 @@ SHARE = 4096
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Key, digest and row number of each row, computed once; the row number tells repeated rows apart."""
+    """Key, digest, hash and number of each row, computed once; the row number tells repeated rows apart."""
     return checkpointed(
         docs.select(
             F.col(id_col).alias("doc_id"),
             F.unhex(F.sha2(folded(F.col(text_col)), 256)).alias("digest"),
+            F.xxhash64(text_col).alias("text_hash"),
             F.monotonically_increasing_id().alias("row"),
         )
     )
@@ -55,7 +54,7 @@ def frequent(rows: DataFrame, share: int = SHARE) -> DataFrame:
 def exact_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: int = SHARE
 ) -> DataFrame:
-    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
+    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256, text_hash.
 
     Equal are texts that are identical after lower-casing A-Z; null counts as the empty text. The row with the largest
     key stays, a null key comes last; of rows that repeat that key and text, exactly one stays. An empty table gives
@@ -68,40 +67,20 @@ def exact_groups(
     same = Window.partitionBy("digest")
     rest = (
         split.filter(F.col("group_size").isNull())
-        .select("doc_id", "digest", "row")
+        .select("doc_id", "digest", "text_hash", "row")
         .withColumns({"group_size": F.count(F.lit(1)).over(same), "winner": F.max(F.struct("doc_id", "row")).over(same)})
     )
-    columns = ("doc_id", "digest", "row", "group_size", "winner")
+    columns = ("doc_id", "digest", "text_hash", "row", "group_size", "winner")
     return named.select(*columns).unionByName(rest.select(*columns)).select(
         "doc_id",
         F.col("winner.doc_id").alias("keep_id"),
         "group_size",
         (F.col("row") == F.col("winner.row")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
+        "text_hash",
     )
 
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay, with all their columns.
-
-    The losers' keys are removed by an anti join, so texts move only if Spark finds the losers too many to send to all
-    executors. Rows that repeat key and text of a winner are reduced to one, if there are any.
-    """
-    verdict = checkpointed(exact_groups(docs, id_col, text_col))
-    losers = verdict.filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc_id", "text_sha256").distinct()
-    again = checkpointed(
-        verdict.filter(F.col("doc_id").eqNullSafe(F.col("keep_id")) & ~F.col("kept")).select("doc_id", "text_sha256").distinct()
-    )
-
-    def matching(side: DataFrame):
-        same_id = F.col(f"kept_rows.{id_col}").eqNullSafe(F.col(f"{side}.doc_id"))
-        return same_id & (F.sha2(folded(F.col(f"kept_rows.{text_col}")), 256) == F.col(f"{side}.text_sha256"))
-
-    left = docs.alias("kept_rows").join(losers.alias("losers"), matching("losers"), "left_anti")
-    if again.isEmpty():
-        return left
-    once = left.alias("kept_rows").join(again.alias("again"), matching("again"), "left_anti")
-    repeated = left.alias("kept_rows").join(again.alias("again"), matching("again"), "left_semi")
-    digest = f"digest_{uuid.uuid4().hex}"
-    repeated = repeated.withColumn(digest, F.sha2(folded(F.col(text_col)), 256)).dropDuplicates([id_col, digest])
-    return once.unionByName(repeated.drop(digest))
+    """The rows of docs that stay, with all their columns."""
+    return rows_kept(docs, exact_groups(docs, id_col, text_col), id_col, text_col)

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_automaton, chat_format, compression, exact_dedup, language_id, mixing, quality_rules
+from . import bpe_automaton, chat_format, compression, dart_minhash, exact_dedup, html_wrapper, language_id, line_dedup, mixing, quality_rules
 from .shared import documents, fold_number
 
 #: Where the vocabulary files are; read on the driver and sent to the executors by Spark.
@@ -33,6 +33,10 @@ def op2_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.repeats(documents(spark, sf_dir)).drop("row", "text_hash")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     held_out = fold_number(F.col("doc_id"), 4) == 2
@@ -40,12 +44,20 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predicted(docs, net).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op5_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart_minhash.near_groups(documents(spark, sf_dir)).drop("text_hash")
+
+
 def op6_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.token_digest(documents(spark, sf_dir), f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_groups(documents(spark, sf_dir))
+    return exact_dedup.exact_groups(documents(spark, sf_dir)).drop("text_hash")
+
+
+def op8_html_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrapper.extracted(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
 def op9_chat_prefix_target(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,9 +83,12 @@ def op10_mix_wfq(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_compression_classifier": op2_compression_classifier,
+    "op3_line_dedup": op3_line_dedup,
     "op4_language_id": op4_language_id,
+    "op5_dart_minhash": op5_dart_minhash,
     "op6_bpe_automaton": op6_bpe_automaton,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_html_wrapper": op8_html_wrapper,
     "op9_chat_prefix_target": op9_chat_prefix_target,
     "op10_mix_wfq": op10_mix_wfq,
 }

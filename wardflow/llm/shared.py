@@ -50,3 +50,21 @@ def fold_number(key: Column, folds: int) -> Column:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def rows_kept(docs: DataFrame, verdict: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of docs that a verdict (doc_id, text_hash, kept; one row per row of docs) keeps, with all columns.
+
+    Rows are told by key and text. The losers are removed by an anti join, so texts move only if Spark finds the losers
+    too many to send to all executors. Rows that repeat a kept row's key and text are reduced to one, if there are any.
+    """
+    by_key = checkpointed(verdict.groupBy("doc_id", "text_hash").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")))
+    losers = by_key.filter(~F.col("kept")).alias("b")
+    again = by_key.filter(F.col("kept") & (F.col("n") > 1)).alias("b")
+    same = F.col(f"a.{id_col}").eqNullSafe(F.col("b.doc_id")) & (F.xxhash64(F.col(f"a.{text_col}")) == F.col("b.text_hash"))
+    left = docs.alias("a").join(losers, same, "left_anti")
+    if again.isEmpty():
+        return left
+    once = left.alias("a").join(again, same, "left_anti")
+    repeated = left.alias("a").join(again, same, "left_semi")
+    return once.unionByName(repeated.dropDuplicates([id_col, text_col]))
