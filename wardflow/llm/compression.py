@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -107,10 +108,11 @@ def fit(
     key = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("key")).agg(F.max(label_col).alias("label"))
     order = Window.partitionBy("label").orderBy(F.xxhash64("key"), "key")
     chosen = checkpointed(key.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= rows).select("key", "label"))
-    text = F.col(text_col)
+    rows_of = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    text = F.col("text")
     start = F.pmod(F.xxhash64("key"), F.greatest(F.length(text) - SAMPLE_BYTES + 1, F.lit(1))) + 1
     taken = (
-        docs.join(F.broadcast(chosen), docs[id_col] == chosen["key"])
+        rows_of.join(F.broadcast(chosen), F.col("doc_id") == F.col("key"))
         .filter(F.length(text) > 0)
         .select("label", "key", F.substring(text, start.cast("int"), F.lit(SAMPLE_BYTES)).alias("window"))
     )
@@ -134,3 +136,15 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], ["doc_id", "score"])
 
     return rows.mapInArrow(score, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double")
+
+
+def accepted(docs: DataFrame, model: Model, least: float, text_col: str = "text") -> DataFrame:
+    """The rows of docs whose score is at least `least`, with all their columns, in one pass without a shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        m = shared.value
+        return pd.Series([probability(m.weights, inputs(*features((t or "").encode(), m.good, m.bad))) for t in texts], dtype="float64")
+
+    return docs.filter(score(F.col(text_col)) >= least)

@@ -205,10 +205,11 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     order = Window.partitionBy("label").orderBy(F.xxhash64("key"), "key")
     keys = docs.filter(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("key"), F.col(lang_col).alias("label"))
     chosen = checkpointed(keys.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= rows).select("key", "label").distinct())
-    text = F.col(text_col)
+    own = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    text = F.col("text")
     start = F.pmod(F.xxhash64("key"), F.greatest(F.length(text) - SAMPLE_CHARS + 1, F.lit(1))) + 1
     taken = (
-        docs.join(F.broadcast(chosen), (docs[id_col] == chosen["key"]) & (docs[lang_col] == chosen["label"]))
+        own.join(F.broadcast(chosen), (F.col("doc_id") == F.col("key")) & (F.col("lang") == F.col("label")))
         .filter(F.length(text) > 0)
         .select("label", "key", F.substring(text, start.cast("int"), F.lit(SAMPLE_CHARS)).alias("window"))
     )

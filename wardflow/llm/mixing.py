@@ -139,5 +139,5 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         & F.col(f"a.{source_col}").eqNullSafe(F.col("b.source"))
         & (F.coalesce(F.regexp_count(F.col(f"a.{text_col}"), F.lit(WORD)), F.lit(0)) == F.col("b.size"))
     )
-    joined = a.join(b, same)
-    return joined.select("a.*", F.explode(F.sequence(F.lit(1), F.col("b.copies"))).alias("copy_of_mix")).select(*[F.col(c) for c in docs.columns])
+    taken = a.join(b, same).select("a.*", F.explode(F.sequence(F.lit(1), F.col("b.copies"))).alias("_copy_of_the_mix"))
+    return taken.drop("_copy_of_the_mix")
