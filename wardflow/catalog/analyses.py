@@ -55,37 +55,39 @@ QUERIES = {
 SPAN = "period, month_label, month_start, month_end"
 MOVES = "first_admit, last_admit, first_discharge, last_discharge"
 UNIT = "facility_id, facility_name, bed_type, category"
-LATEST = "CASE WHEN period = (SELECT max(period) FROM cap) THEN 'yes' ELSE 'no' END AS is_latest"
+LATEST = "CASE period WHEN (SELECT max(period) FROM staffed) THEN 'yes' ELSE 'no' END AS is_latest"
+MEAN = rounded(ratio("SUM(los_days)", "SUM(admissions)"), 2)
 
+# Population deviation from a count, a sum and a sum of squares.
+SPREAD = "sqrt(greatest({n} * {q} - {d} * {d}, 0)::DOUBLE) / nullif({n}, 0)"
+# Totals of a unit over its staffed months; shares of days follow from the sums, thresholds and labels from the definition.
 DIAGNOSIS = f"""
-, total AS (
+, span AS (
   SELECT facility_id, bed_type, COUNT(*) AS months,
-         {rounded('AVG(beds_total)', 1)} AS beds_total_mean, {rounded('AVG(beds_public)', 1)} AS beds_public_mean,
-         COUNT(*) FILTER (WHERE beds_public > beds_total) AS months_public_above_total,
-         CAST(SUM(admissions) AS BIGINT) AS admissions, CAST(SUM(occupied_days) AS BIGINT) AS occupied_days,
-         CAST(SUM(bed_days_total) AS BIGINT) AS bed_days_total, CAST(SUM(bed_days_public) AS BIGINT) AS bed_days_public,
+         {rounded('SUM(beds_total) / COUNT(*)', 1)} AS beds_total_mean, {rounded('SUM(beds_public) / COUNT(*)', 1)} AS beds_public_mean,
+         COUNT(*) FILTER (beds_total < beds_public) AS months_public_above_total,
+         {', '.join(f'SUM({c})::BIGINT AS {c}' for c in ('admissions', 'occupied_days', 'bed_days_total', 'bed_days_public'))},
          MIN(first_admit) AS first_admit, MAX(last_admit) AS last_admit,
-         MIN(first_discharge) AS first_discharge, MAX(last_discharge) AS last_discharge
-  FROM monthly GROUP BY ALL),
-summary AS (
+         MIN(first_discharge) AS first_discharge, MAX(last_discharge) AS last_discharge, {MEAN} AS mean_days,
+         SUM(los_days) AS stayed
+  FROM staffed GROUP BY facility_id, bed_type),
+shares AS (
   SELECT *, {rounded(ratio('occupied_days', 'bed_days_total', '100'), 2)} AS occupancy_total_pct,
          {rounded(ratio('occupied_days', 'bed_days_public', '100'), 2)} AS occupancy_pct,
-         {rounded(ratio('bed_days_total - bed_days_public', 'bed_days_total', '100'), 2)} AS gap_pct
-  FROM total),
-unit_mean AS (SELECT facility_id, bed_type, {rounded('AVG(stay_days)', 2)} AS mean_days FROM own_stays GROUP BY ALL),
-net_mean AS (SELECT bed_type, {rounded('AVG(stay_days)', 2)} AS network_mean_days FROM own_stays GROUP BY ALL),
-diagnosis AS (
-  SELECT DATE '1998-01-01' AS scope_start, DATE '1999-12-31' AS scope_end, s.*,
-         {rounded('beds_total_mean - beds_public_mean', 1)} AS beds_not_public_mean, mean_days, network_mean_days,
+         {rounded(ratio('bed_days_total - bed_days_public', 'bed_days_total', '100'), 2)} AS gap_pct,
+         {rounded(ratio('SUM(stayed) OVER of_type', 'SUM(admissions) OVER of_type'), 2)} AS network_mean_days
+  FROM span WINDOW of_type AS (PARTITION BY bed_type)),
+summary AS (SELECT * EXCLUDE (mean_days, network_mean_days, stayed) FROM shares),
+verdict AS (
+  SELECT * EXCLUDE (stayed),
          CASE WHEN months < 12 THEN 'short series' WHEN admissions = 0 THEN 'no production'
               WHEN occupancy_total_pct IS NULL THEN 'registry inconsistency'
               WHEN occupancy_pct IS NULL THEN 'no public beds in period'
-              WHEN occupancy_total_pct >= 75 AND occupancy_pct >= 75 THEN 'high on both'
-              WHEN occupancy_total_pct < 75 AND occupancy_pct >= 75 THEN 'high on public beds only'
-              WHEN occupancy_total_pct < 75 AND occupancy_pct < 75 THEN 'low on both'
-              ELSE 'registry inconsistency' END AS pattern,
+              WHEN least(occupancy_total_pct, occupancy_pct) >= 75 THEN 'high on both'
+              WHEN occupancy_pct >= 75 THEN 'high on public beds only'
+              WHEN occupancy_total_pct < 75 THEN 'low on both' ELSE 'registry inconsistency' END AS pattern,
          CASE WHEN gap_pct > 20 THEN 'gap between total and public beds above 20%' END AS gap_alert
-  FROM {labelled('summary')} s LEFT JOIN unit_mean USING (facility_id, bed_type) LEFT JOIN net_mean USING (bed_type))
+  FROM {labelled('shares')})
 """
 
 ORACLES = {
@@ -99,25 +101,24 @@ SELECT month_start, last_day(month_start) AS month_end, strftime(month_start, '%
        strftime(month_start, '%Y%m') AS period, CAST(day(last_day(month_start)) AS INTEGER) AS days_in_month,
        coalesce(claims, 0) AS claims
 FROM cal LEFT JOIN n USING (month_start)""",
-    "latest_name": CORE + "SELECT * FROM names",
+    "latest_name": CORE + "FROM names",
     "bed_capacity_monthly": CORE
-    + f"SELECT {SPAN}, {UNIT}, beds_total, beds_public, {LATEST} FROM {labelled('cap')}",
-    "stay_base": CORE + "SELECT * FROM stays",
-    "admissions_monthly": CORE + "SELECT * FROM adm",
-    "occupied_days_monthly": CORE + "SELECT * FROM occ",
+    + f"SELECT {SPAN}, {UNIT}, beds_total, beds_public, {LATEST} FROM {labelled('staffed')}",
+    "stay_base": CORE + "FROM stays",
+    "admissions_monthly": CORE
+    + "SELECT facility_id, bed_type, month_start, admissions FROM unit_month WHERE admissions > 0",
+    "occupied_days_monthly": CORE
+    + f"SELECT facility_id, bed_type, month_start, occupied_days, {MOVES} FROM unit_month WHERE occupied_days > 0",
     "daily_census": CORE
-    + """
-SELECT facility_id, bed_type, CAST(d AS DATE) AS census_date, COUNT(*) AS patients
-FROM (SELECT facility_id, bed_type,
-             unnest(generate_series(admit_date, admit_date + stay_days - 1, INTERVAL 1 DAY)) AS d FROM stays)
-WHERE d BETWEEN DATE '1998-01-01' AND DATE '1999-12-31' GROUP BY ALL""",
-    "patient_days": CORE + "SELECT facility_id, bed_type, month_start, occupied_days AS patient_days FROM occ",
+    + "SELECT facility_id, bed_type, day AS census_date, COUNT(*) AS patients FROM patient_day GROUP BY ALL",
+    "patient_days": CORE
+    + "SELECT facility_id, bed_type, month_start, occupied_days AS patient_days FROM unit_month WHERE occupied_days > 0",
     "admissions_per_bed": CORE
     + f"""
 SELECT {SPAN}, {MOVES}, {UNIT}, beds_public, bed_days_public, admissions, occupied_days,
        {rounded(ratio('admissions', 'beds_public'), 2)} AS admissions_per_bed,
        {rounded(ratio('occupied_days', 'bed_days_public', '100'), 2)} AS occupancy_pct
-FROM {labelled('monthly')}""",
+FROM {labelled('staffed')}""",
     "occupancy_bands": CORE
     + f"""
 SELECT {SPAN}, {MOVES}, {UNIT}, beds_total, beds_public, bed_days_total, bed_days_public, admissions, occupied_days,
@@ -127,42 +128,41 @@ SELECT {SPAN}, {MOVES}, {UNIT}, beds_total, beds_public, bed_days_total, bed_day
             WHEN public_rate <= 85 THEN 'healthy' ELSE 'overload' END AS band,
        {LATEST}
 FROM (SELECT *, {ratio('occupied_days', 'bed_days_total', '100')} AS total_rate,
-                {ratio('occupied_days', 'bed_days_public', '100')} AS public_rate FROM {labelled('monthly')})""",
+                {ratio('occupied_days', 'bed_days_public', '100')} AS public_rate FROM {labelled('staffed')})""",
     "network_stats": CORE
     + f"""
-SELECT month_start, bed_type, COUNT(*) AS network_admissions, CAST(SUM(stay_days) AS BIGINT) AS network_days,
-       {rounded('AVG(stay_days)', 2)} AS network_mean, {rounded('coalesce(stddev_pop(stay_days), 0)', 2)} AS network_sd
-FROM own_stays GROUP BY ALL""",
+SELECT month_start, bed_type, SUM(admissions)::BIGINT AS network_admissions, SUM(los_days)::BIGINT AS network_days,
+       {MEAN} AS network_mean, {rounded(SPREAD.format(n='SUM(admissions)', d='SUM(los_days)', q='SUM(los_squares)'), 2)} AS network_sd
+FROM staffed WHERE admissions > 0 GROUP BY ALL""",
     "facility_stats": CORE
     + f"""
-SELECT facility_id, bed_type, month_start, COUNT(*) AS admissions, CAST(SUM(stay_days) AS BIGINT) AS los_days,
-       {rounded('AVG(stay_days)', 2)} AS mean_days, MIN(admit_date) AS first_admit, MAX(admit_date) AS last_admit,
-       MIN(discharge_date) AS first_discharge, MAX(discharge_date) AS last_discharge
-FROM own_stays GROUP BY ALL""",
+SELECT facility_id, bed_type, month_start, admissions, los_days, {rounded('los_days / admissions', 2)} AS mean_days,
+       los_first_admit AS first_admit, los_last_admit AS last_admit,
+       los_first_discharge AS first_discharge, los_last_discharge AS last_discharge
+FROM staffed WHERE admissions > 0""",
     "length_of_stay": CORE
     + f"""
-, net AS (
-  SELECT month_start, bed_type, COUNT(*) AS nn, SUM(stay_days) AS nd, AVG(stay_days) AS nmean,
-         coalesce(stddev_pop(stay_days), 0) AS nsd FROM own_stays GROUP BY ALL),
-unit AS (
-  SELECT facility_id, month_start, bed_type, COUNT(*) AS n, SUM(stay_days) AS d, AVG(stay_days) AS mean,
-         MIN(admit_date) AS first_admit, MAX(admit_date) AS last_admit,
-         MIN(discharge_date) AS first_discharge, MAX(discharge_date) AS last_discharge FROM own_stays GROUP BY ALL),
-cmp AS (
-  SELECT c.*, n, d, mean, nn, nd, nmean, nsd, {MOVES}, (mean - nmean) / nullif(nsd / sqrt(n), 0) AS zz
-  FROM cap c LEFT JOIN unit USING (facility_id, month_start, bed_type) LEFT JOIN net USING (month_start, bed_type))
-SELECT {SPAN}, {MOVES}, {UNIT}, beds_public, coalesce(n, 0) AS admissions,
-       CAST(coalesce(d, 0) AS BIGINT) AS stay_days, {rounded('mean', 2)} AS mean_days,
-       coalesce(nn, 0) AS network_admissions, CAST(coalesce(nd, 0) AS BIGINT) AS network_days,
-       {rounded('nmean', 2)} AS network_mean, {rounded('nsd', 2)} AS network_sd, {rounded('zz', 2)} AS z,
-       CASE WHEN n IS NULL THEN 'no stays' WHEN zz > 1.5 THEN 'above' WHEN zz < -1.5 THEN 'below'
-            ELSE 'within' END AS status
-FROM {labelled('cmp')}""",
+, beside AS (
+  SELECT *, SUM(admissions) OVER net AS n, coalesce(SUM(los_days) OVER net, 0) AS d, SUM(los_squares) OVER net AS q
+  FROM staffed WINDOW net AS (PARTITION BY month_start, bed_type)),
+measured AS (
+  SELECT *, los_days / nullif(admissions, 0) AS own, d / nullif(n, 0) AS mean, {SPREAD.format(n='n', d='d', q='q')} AS sd FROM beside),
+scored AS (SELECT *, (own - mean) / nullif(sd / sqrt(admissions), 0) AS score FROM measured)
+SELECT {SPAN}, {UNIT}, beds_public, los_first_admit AS first_admit, los_last_admit AS last_admit,
+       los_first_discharge AS first_discharge, los_last_discharge AS last_discharge, admissions,
+       coalesce(los_days, 0) AS stay_days, {rounded('own', 2)} AS mean_days, n::BIGINT AS network_admissions, d::BIGINT AS network_days,
+       {rounded('mean', 2)} AS network_mean, {rounded('sd', 2)} AS network_sd, {rounded('score', 2)} AS z,
+       CASE WHEN admissions = 0 THEN 'no stays' WHEN score > 1.5 THEN 'above' WHEN score < -1.5 THEN 'below' ELSE 'within' END AS status
+FROM {labelled('scored')}""",
     "stay_means": CORE
     + DIAGNOSIS
-    + "SELECT facility_id, bed_type, mean_days, network_mean_days FROM unit_mean JOIN net_mean USING (bed_type)",
-    "facility_summary": CORE + DIAGNOSIS + "SELECT * FROM summary",
-    "facility_diagnosis": CORE + DIAGNOSIS + "SELECT * FROM diagnosis",
+    + "SELECT facility_id, bed_type, mean_days, network_mean_days FROM shares WHERE mean_days IS NOT NULL",
+    "facility_summary": CORE + DIAGNOSIS + "FROM summary",
+    "facility_diagnosis": CORE
+    + DIAGNOSIS
+    + f"""
+SELECT *, DATE '1998-01-01' AS scope_start, DATE '1999-12-31' AS scope_end,
+       {rounded('beds_total_mean - beds_public_mean', 1)} AS beds_not_public_mean FROM verdict""",
     "investment_quadrant": CORE
     + DIAGNOSIS
     + """
@@ -171,22 +171,15 @@ SELECT facility_id, facility_name, bed_type, gap_pct, occupancy_total_pct, occup
             WHEN pattern = 'high on both' THEN 'expand physical capacity'
             WHEN pattern = 'high on public beds only' THEN 'maintenance, equipment and staff for blocked beds'
             WHEN pattern = 'low on both' THEN 'readjust the care profile, do not expand' END AS action
-FROM diagnosis""",
+FROM verdict""",
     "out_of_scope_share": CORE
     + f"""
-, pool AS (
-  SELECT a.facility_id, a.claim_id, a.admit_date, br.bed_type
-  FROM admission a LEFT JOIN bridge br USING (specialty)
-  WHERE claim_kind = '1' AND admit_date BETWEEN DATE '1998-01-01' AND DATE '1999-12-31'
-    AND EXISTS (SELECT 1 FROM bed b WHERE b.facility_id = a.facility_id AND b.own_flag = 1
-                AND b.bed_type IN ('1', '2') AND b.period = strftime(a.admit_date, '%Y%m'))),
-counted AS (
-  SELECT facility_id,
-         COUNT(DISTINCT (claim_id, admit_date)) FILTER (WHERE bed_type IN ('1', '2')) AS stays_inside,
-         COUNT(DISTINCT (claim_id, admit_date)) FILTER (WHERE bed_type IS NULL) AS stays_outside,
-         COUNT(DISTINCT (claim_id, admit_date)) AS n
-  FROM pool GROUP BY ALL)
-SELECT facility_id, facility_name, stays_inside, stays_outside,
-       {rounded(ratio('stays_outside', 'n', '100'), 1)} AS outside_pct
-FROM counted LEFT JOIN names USING (facility_id)""",
+, marks AS (
+  SELECT facility_id, strftime(admit_date, '%Y%m') AS period, claim_id, admit_date,
+         bool_or(coalesce(bed_type <> '3', FALSE)) AS inside, bool_or(bed_type IS NULL) AS outside
+  FROM admission LEFT JOIN bridge USING (specialty)
+  WHERE claim_kind = '1' AND year(admit_date) IN (1998, 1999) GROUP BY ALL)
+SELECT facility_id, any_value(facility_name) AS facility_name, COUNT(*) FILTER (inside) AS stays_inside,
+       COUNT(*) FILTER (outside) AS stays_outside, {rounded(ratio('COUNT(*) FILTER (outside)', 'COUNT(*)', '100'), 1)} AS outside_pct
+FROM marks SEMI JOIN staffed USING (facility_id, period) LEFT JOIN names USING (facility_id) GROUP BY facility_id""",
 }

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from wardflow.sources.domains import BED_TYPES, SPECIALTIES, SPECIALTY_TO_BED_TYPE, literal_rows
+from wardflow.sources.domains import BED_TYPES, SPECIALTIES, literal_rows
+from wardflow.testbed import BRIDGE
 
 ADAPTER = """
 WITH months AS (
@@ -64,50 +65,55 @@ CORE = (
     ADAPTER.rstrip()
     + f"""
 , bed_types AS (SELECT k AS bed_type, v AS category FROM ({_values(BED_TYPES)})),
-bridge AS (SELECT k AS specialty, v AS bed_type FROM ({_values(SPECIALTY_TO_BED_TYPE)})),
+bridge AS (SELECT k AS specialty, v AS bed_type FROM ({_values(BRIDGE)})),
 specialties AS (SELECT k AS specialty, v AS description FROM ({_values(SPECIALTIES)})),
 """
     + """
-names AS (
-  SELECT facility_id, facility_name FROM (
-    SELECT facility_id, facility_name, row_number() OVER (PARTITION BY facility_id ORDER BY period DESC) AS rn
-    FROM facility WHERE facility_name IS NOT NULL) WHERE rn = 1),
-cap AS (
-  SELECT ym AS period, strftime(m_start, '%m/%Y') AS month_label, m_start AS month_start, m_end AS month_end,
-         m_days, facility_id, bed_type,
-         CAST(SUM(beds_total) AS BIGINT) AS beds_total, CAST(SUM(beds_public) AS BIGINT) AS beds_public
-  FROM bed JOIN months ON period = ym WHERE bed_type IN ('1', '2') AND own_flag = 1
-  GROUP BY ALL),
+names AS (SELECT facility_id, arg_max(facility_name, period) FILTER (facility_name IS NOT NULL) AS facility_name
+          FROM facility GROUP BY facility_id HAVING COUNT(facility_name) > 0),
+-- A stay is the greatest of its claim rows by discharge day, specialty and length.
 stays AS (
-  SELECT claim_id, facility_id, admit_date, bed_type, discharge_date, stay_days FROM (
-    SELECT *, row_number() OVER (PARTITION BY claim_id, facility_id, admit_date
-                                 ORDER BY discharge_date DESC NULLS LAST, bed_type DESC, stay_days DESC) AS rn
-    FROM (SELECT claim_id, facility_id, admit_date, bed_type, discharge_date,
-                 CAST(greatest(coalesce(discharge_date - admit_date, billed_days, reported_days, 1), 1) AS INTEGER)
-                   AS stay_days
-          FROM admission JOIN bridge USING (specialty)
-          WHERE claim_kind = '1' AND bed_type IN ('1', '2') AND admit_date <= DATE '1999-12-31'))
-  WHERE rn = 1),
-adm AS (
-  SELECT date_trunc('month', admit_date)::DATE AS month_start, facility_id, bed_type, COUNT(*) AS admissions
-  FROM stays WHERE admit_date BETWEEN DATE '1998-01-01' AND DATE '1999-12-31' GROUP BY ALL),
-occ AS (
-  SELECT m_start AS month_start, facility_id, bed_type,
-         CAST(SUM(least(admit_date + stay_days, m_end + 1) - greatest(admit_date, m_start)) AS BIGINT) AS occupied_days,
-         MIN(admit_date) AS first_admit, MAX(admit_date) AS last_admit,
-         MIN(discharge_date) AS first_discharge, MAX(discharge_date) AS last_discharge
-  FROM stays JOIN months ON admit_date <= m_end AND admit_date + stay_days > m_start GROUP BY ALL),
-monthly AS (
-  SELECT c.*, beds_total * m_days AS bed_days_total, beds_public * m_days AS bed_days_public,
-         coalesce(admissions, 0) AS admissions, coalesce(occupied_days, 0) AS occupied_days,
-         first_admit, last_admit, first_discharge, last_discharge
-  FROM cap c LEFT JOIN adm USING (facility_id, bed_type, month_start)
-             LEFT JOIN occ USING (facility_id, bed_type, month_start)),
-own_stays AS (
-  SELECT c.month_start, s.* FROM stays s
-  JOIN cap c ON c.facility_id = s.facility_id AND c.bed_type = s.bed_type
-            AND c.month_start = date_trunc('month', s.admit_date)::DATE
-  WHERE s.admit_date BETWEEN DATE '1998-01-01' AND DATE '1999-12-31')
+  SELECT claim_id, facility_id, admit_date, top.specialty AS specialty, top.length AS stay_days, top.bed_type AS bed_type,
+         nullif(top.until, DATE '0001-01-01') AS discharge_date
+  FROM (SELECT claim_id, facility_id, admit_date,
+               max({'until': coalesce(discharge_date, DATE '0001-01-01'), 'specialty': specialty,
+                    'length': CAST(greatest(1, coalesce(discharge_date - admit_date, billed_days, reported_days, 1)) AS INTEGER),
+                    'bed_type': bed_type}) AS top
+        FROM bridge NATURAL JOIN admission
+        WHERE admit_date < DATE '2000-01-01' AND bed_type <> '3' AND claim_kind = '1' GROUP BY ALL)),
+-- The daily grain: a row for each day on which a stay fills a bed.
+patient_day AS (
+  SELECT * FROM (SELECT *, CAST(unnest(generate_series(admit_date, admit_date + stay_days - 1, INTERVAL 1 DAY)) AS DATE) AS day FROM stays)
+  WHERE year(day) IN (1998, 1999)),
+-- What happens in a facility's beds of a type in a month: registered beds, admissions, discharges and filled days.
+happening AS (
+  SELECT facility_id, bed_type, period, 1 AS registered, beds_total, beds_public, NULL AS entered, NULL AS length, 0 AS leaving, 0 AS filled,
+         NULL AS came, NULL AS went
+  FROM bed WHERE own_flag = 1 AND bed_type <> '3'
+  UNION ALL
+  SELECT facility_id, bed_type, strftime(admit_date, '%Y%m'), 0, 0, 0, admit_date, stay_days, 0, 0, NULL, discharge_date
+  FROM stays WHERE admit_date >= DATE '1998-01-01'
+  UNION ALL
+  SELECT facility_id, bed_type, strftime(discharge_date, '%Y%m'), 0, 0, 0, NULL, NULL, 1, 0, NULL, NULL
+  FROM stays WHERE year(discharge_date) IN (1998, 1999)
+  UNION ALL
+  SELECT facility_id, bed_type, strftime(day, '%Y%m'), 0, 0, 0, NULL, NULL, 0, 1, admit_date, discharge_date FROM patient_day),
+unit_month AS (
+  SELECT facility_id, bed_type, period, strptime(period || '01', '%Y%m%d')::DATE AS month_start, SUM(registered) AS bed_rows,
+         SUM(beds_total)::BIGINT AS beds_total, SUM(beds_public)::BIGINT AS beds_public,
+         COUNT(entered) AS admissions, SUM(leaving)::BIGINT AS discharges, SUM(filled)::BIGINT AS occupied_days,
+         SUM(length)::BIGINT AS los_days, SUM(length * length)::BIGINT AS los_squares,
+         MIN(came) AS first_admit, MAX(came) AS last_admit,
+         MIN(went) FILTER (filled = 1) AS first_discharge, MAX(went) FILTER (filled = 1) AS last_discharge,
+         MIN(entered) AS los_first_admit, MAX(entered) AS los_last_admit,
+         MIN(went) FILTER (entered IS NOT NULL) AS los_first_discharge, MAX(went) FILTER (entered IS NOT NULL) AS los_last_discharge
+  FROM happening GROUP BY ALL),
+-- The months of a unit that has registered beds then.
+staffed AS (
+  SELECT * EXCLUDE (bed_rows), day(last_day(month_start)) * beds_total AS bed_days_total,
+         day(last_day(month_start)) * beds_public AS bed_days_public, last_day(month_start) AS month_end,
+         strftime(month_start, '%m/%Y') AS month_label
+  FROM unit_month WHERE bed_rows > 0)
 """
 )
 

@@ -14,15 +14,16 @@ from wardflow.settings import Scope
 
 STAY = ["claim_id", "facility_id", "admit_date"]
 
-# A stay's rank is one whole number, (discharge day, type position, days) in mixed radix.
+# A stay's rank is one whole number, (discharge day, specialty's place in the bridge, days) in mixed radix.
 DAYS_RADIX = 2**31
+PLACES = 2**8
 DAY_ZERO = "0001-01-01"
 
 
-def _pack(discharge: Column, position: Column, types: int, days: Column) -> Column:
-    """Discharge day first (0 when missing, so lowest), then bed type, then days."""
+def _pack(discharge: Column, place: Column, days: Column) -> Column:
+    """Discharge day first (0 when missing, so lowest), then specialty, then days."""
     since = F.coalesce(F.datediff(discharge, F.lit(DAY_ZERO).cast("date")) + 1, F.lit(0)).cast("long")
-    return (since * types + position) * DAYS_RADIX + days
+    return (since * PLACES + place) * DAYS_RADIX + days
 
 
 def stay_base(admissions: DataFrame, bridge: DataFrame, scope: Scope) -> DataFrame:
@@ -31,24 +32,24 @@ def stay_base(admissions: DataFrame, bridge: DataFrame, scope: Scope) -> DataFra
     There is no lower bound on the admission day, as earlier stays still fill beds. The scope is
     applied before the choice. The winner is found by the maximum of one fixed-width number, so
     Spark hash-aggregates on both sides of the shuffle instead of sorting every claim, and
-    repeated rows of a hot stay collapse before the shuffle. Ties: greater type, then more days.
+    repeated rows of a hot stay collapse before the shuffle. Ties: greater specialty, then more days.
+    The bridge has one row per mapped specialty, PLACES at most.
     """
-    types = sorted(scope.bed_types)
+    mapped = bridge.filter(F.col("bed_type").isin(*scope.bed_types))
+    places = mapped.agg(F.array_sort(F.collect_set(F.struct("specialty", "bed_type")))).scalar()
     rows = (
         admissions.filter((F.col("claim_kind") == scope.claim_kind) & (F.col("admit_date") <= F.lit(scope.end)))
-        .join(bridge.filter(F.col("bed_type").isin(types)), "specialty")
+        .join(mapped, "specialty")
         .withColumn("days", stay_days("admit_date", "discharge_date", "billed_days", "reported_days"))
     )
-    type_list = F.array(*[F.lit(t) for t in types])
-    position = F.array_position(type_list, F.col("bed_type")) - 1
-    best = rows.groupBy(*STAY).agg(
-        F.max(_pack(F.col("discharge_date"), position, len(types), F.col("days"))).alias("best")
-    )
-    since_and_type = F.expr(f"best div {DAYS_RADIX}")
-    since = F.expr(f"best div {DAYS_RADIX * len(types)}").cast("int")
+    place = F.array_position(places, F.struct("specialty", "bed_type"))
+    best = rows.groupBy(*STAY).agg(F.max(_pack(F.col("discharge_date"), place, F.col("days"))).alias("best"))
+    since = F.expr(f"best div {DAYS_RADIX * PLACES}").cast("int")
+    chosen = F.get(places, (F.expr(f"best div {DAYS_RADIX}") % PLACES - 1).cast("int"))
     return best.select(
         *STAY,
-        F.element_at(type_list, (since_and_type % len(types) + 1).cast("int")).alias("bed_type"),
+        chosen["specialty"].alias("specialty"),
+        chosen["bed_type"].alias("bed_type"),
         F.when(since > 0, F.date_add(F.lit(DAY_ZERO).cast("date"), since - 1)).alias("discharge_date"),
         (F.col("best") % DAYS_RADIX).cast("int").alias("stay_days"),
     )

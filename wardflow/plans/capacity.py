@@ -18,7 +18,7 @@ ORDER = ["month_start", "facility_name", "bed_type"]
 
 @dataclass(frozen=True)
 class Warehouse:
-    """The tables an analysis reads."""
+    """The tables an analysis reads, and the specialties of the finished stays that it counts (None: all)."""
 
     beds: DataFrame
     admissions: DataFrame
@@ -26,6 +26,7 @@ class Warehouse:
     bed_types: DataFrame
     bridge: DataFrame
     specialties: DataFrame
+    stay_specialties: tuple[str, ...] | None = None
 
 
 def is_latest(beds: DataFrame, settings: Settings) -> Column:
@@ -39,10 +40,16 @@ def is_latest(beds: DataFrame, settings: Settings) -> Column:
 
 
 def stays_of(w: Warehouse, settings: Settings) -> DataFrame:
-    return s.stay_base(w.admissions, w.bridge, settings.scope)
+    stays = s.stay_base(w.admissions, w.bridge, settings.scope)
+    return stays if w.stay_specialties is None else stays.filter(F.col("specialty").isin(list(w.stay_specialties)))
 
 
-def bed_capacity(w: Warehouse, settings: Settings) -> DataFrame:
+def in_order(df: DataFrame, keys: list, ordered: bool) -> DataFrame:
+    """df, sorted for a reader if asked for; a caller that aggregates or writes it saves the sort."""
+    return df.orderBy(*keys) if ordered else df
+
+
+def bed_capacity(w: Warehouse, settings: Settings, ordered: bool = False) -> DataFrame:
     """Beds per facility, type and month, with names and the latest month marked."""
     return (
         b.capacity_by_month(w.beds, settings.scope)
@@ -51,7 +58,7 @@ def bed_capacity(w: Warehouse, settings: Settings) -> DataFrame:
         .select(
             *SPAN, "facility_id", "facility_name", "bed_type", "category", "beds_total", "beds_public", "is_latest"
         )
-        .orderBy(*ORDER)
+        .transform(in_order, ORDER, ordered)
     )
 
 
@@ -73,7 +80,9 @@ def monthly(w: Warehouse, settings: Settings) -> DataFrame:
     )
 
 
-def admissions_per_bed(w: Warehouse, settings: Settings, rows: DataFrame | None = None) -> DataFrame:
+def admissions_per_bed(
+    w: Warehouse, settings: Settings, rows: DataFrame | None = None, ordered: bool = False
+) -> DataFrame:
     """Admissions and occupied days against public beds."""
     rows = rows or monthly(w, settings)
     return (
@@ -92,7 +101,7 @@ def admissions_per_bed(w: Warehouse, settings: Settings, rows: DataFrame | None
             rounded(ratio("admissions", "beds_public"), 2).alias("admissions_per_bed"),
             rounded(ratio("occupied_days", "bed_days_public", 100), 2).alias("occupancy_pct"),
         )
-        .orderBy(*ORDER)
+        .transform(in_order, ORDER, ordered)
     )
 
 
@@ -109,7 +118,9 @@ def band(beds: Column, days: Column, rate: Column, settings: Settings) -> Column
     )
 
 
-def occupancy_bands(w: Warehouse, settings: Settings, rows: DataFrame | None = None) -> DataFrame:
+def occupancy_bands(
+    w: Warehouse, settings: Settings, rows: DataFrame | None = None, ordered: bool = False
+) -> DataFrame:
     """Occupancy of total and public beds, banded on the public rate."""
     total_rate = ratio("occupied_days", "bed_days_total", 100)
     public_rate = ratio("occupied_days", "bed_days_public", 100)
@@ -134,5 +145,5 @@ def occupancy_bands(w: Warehouse, settings: Settings, rows: DataFrame | None = N
             band(F.col("beds_public"), F.col("occupied_days"), public_rate, settings).alias("band"),
             is_latest(w.beds, settings).alias("is_latest"),
         )
-        .orderBy(*ORDER)
+        .transform(in_order, ORDER, ordered)
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -10,7 +11,7 @@ from wardflow.functions.dates import stay_days
 from wardflow.functions.numbers import ratio, rounded, total
 from wardflow.operators import beds as b, dedup, stays as s
 from wardflow.operators.beds import UNIT
-from wardflow.plans.capacity import Warehouse, monthly, stays_of
+from wardflow.plans.capacity import Warehouse, in_order, monthly, stays_of
 from wardflow.settings import Settings
 
 
@@ -33,9 +34,13 @@ def _mean_stay() -> Column:
     return rounded(ratio(F.sum("los_days"), F.sum(counted)), 2).alias("mean_days")
 
 
-def network_kpis(w: Warehouse, settings: Settings) -> DataFrame:
-    """Discharges, occupancy on total and public beds (ratios of sums) and mean stay."""
-    return with_discharges(w, settings).agg(total("discharges").alias("discharges"), *_rates(), _mean_stay())
+def network_kpis(w: Warehouse, settings: Settings, rows: DataFrame | None = None) -> DataFrame:
+    """Discharges, occupancy on total and public beds (ratios of sums) and mean stay.
+
+    ``rows`` are those of :func:`with_discharges`, here and in the reports below.
+    """
+    rows = rows or with_discharges(w, settings)
+    return rows.agg(total("discharges").alias("discharges"), *_rates(), _mean_stay())
 
 
 def narrowed(
@@ -46,28 +51,40 @@ def narrowed(
     bed_types: list[str] | None = None,
     specialties: list[str] | None = None,
 ) -> tuple[Warehouse, Settings]:
-    """The dashboard's filters as predicates on the source rows, ahead of every aggregation."""
-    beds, claims, bridge = w.beds, w.admissions, w.bridge
-    if periods:
-        beds = beds.filter(F.col("period").isin(periods))
-    if facilities:
-        beds = beds.filter(F.col("facility_id").isin(facilities))
-        claims = claims.filter(F.col("facility_id").isin(facilities))
-    if bed_types:
-        settings = replace(settings, scope=replace(settings.scope, bed_types=tuple(bed_types)))
-    if specialties:
-        claims = claims.filter(F.col("specialty").isin(specialties))
-        bridge = bridge.filter(F.col("specialty").isin(specialties))
-    return replace(w, beds=beds, admissions=claims, bridge=bridge), settings
+    """The dashboard's filters, for every report: pass its result on as the report's first two arguments.
+
+    None leaves a filter out, an empty list selects nothing. Bed types and specialties act on finished stays, after each
+    stay's row is chosen, so a stay counts under one of them. Periods and facilities are part of what identifies a stay
+    or are later than it, so they reach the sources: claims after the last chosen month are not read. Beds are those of
+    the bed types, and of the types that the specialties map to.
+    """
+    beds, claims, scope = w.beds, w.admissions, settings.scope
+    if periods is not None:
+        beds = beds.filter(F.col("period").isin(list(periods)))
+        months = [m for m in scope.months if m.strftime("%Y%m") in set(periods)]
+        if months:
+            last = (months[-1].replace(day=28) + timedelta(days=4)).replace(day=1) - timedelta(days=1)
+            scope = replace(scope, start=max(scope.start, months[0]), end=min(scope.end, last))
+    if facilities is not None:
+        beds = beds.filter(F.col("facility_id").isin(list(facilities)))
+        claims = claims.filter(F.col("facility_id").isin(list(facilities)))
+    if bed_types is not None:
+        beds = beds.filter(F.col("bed_type").isin(list(bed_types)))
+    if specialties is not None:
+        mapped = w.bridge.filter(F.col("specialty").isin(list(specialties))).select("bed_type")
+        beds = beds.join(mapped.distinct(), "bed_type", "left_semi")
+        w = replace(w, stay_specialties=tuple(specialties))
+    return replace(w, beds=beds, admissions=claims), replace(settings, scope=scope)
 
 
 def filtered_kpis(w: Warehouse, settings: Settings, **filters) -> DataFrame:
     return network_kpis(*narrowed(w, settings, **filters))
 
 
-def occupancy_trend(w: Warehouse, settings: Settings) -> DataFrame:
+def occupancy_trend(w: Warehouse, settings: Settings, rows: DataFrame | None = None, ordered: bool = False) -> DataFrame:
     """Both occupancy rates of the network by month."""
-    return monthly(w, settings).groupBy("month_start", "period").agg(*_rates()).orderBy("month_start")
+    rows = rows or monthly(w, settings)
+    return in_order(rows.groupBy("month_start", "period").agg(*_rates()), ["month_start"], ordered)
 
 
 def light(rate: Column, settings: Settings) -> Column:
@@ -80,22 +97,25 @@ def light(rate: Column, settings: Settings) -> Column:
     )
 
 
-def hospital_matrix(w: Warehouse, settings: Settings) -> DataFrame:
+def hospital_matrix(
+    w: Warehouse, settings: Settings, rows: DataFrame | None = None, ordered: bool = False
+) -> DataFrame:
     """Per facility: mean registered beds, discharges, occupancy, mean stay and light."""
     rate = F.col("occupancy_total_pct")
-    beds_of_month = with_discharges(w, settings).groupBy("facility_id", "month_start").agg(
+    rows = rows or with_discharges(w, settings)
+    beds_of_month = rows.groupBy("facility_id", "month_start").agg(
         *[F.sum(c).alias(c) for c in ("beds_total", "discharges", "occupied_days", "bed_days_total", "bed_days_public")],
         F.sum("los_days").alias("los_days"),
         F.sum(F.when(F.col("admitted"), F.col("admissions"))).alias("los_n"),
     )
-    rows = beds_of_month.groupBy("facility_id").agg(
+    measures = beds_of_month.groupBy("facility_id").agg(
         rounded(ratio(F.sum("beds_total"), F.count("beds_total")), 1).alias("beds_total_mean"),
         total("discharges").alias("discharges"),
         *_rates(),
         rounded(ratio(F.sum("los_days"), F.sum("los_n")), 2).alias("mean_days"),
     )
-    return (
-        rows.join(b.latest_name(w.facilities), "facility_id", "left")
+    named = (
+        measures.join(b.latest_name(w.facilities), "facility_id", "left")
         .select(
             "facility_id",
             F.coalesce("facility_name", F.concat(F.lit(settings.labels.unknown_facility), F.col("facility_id"))).alias(
@@ -107,8 +127,8 @@ def hospital_matrix(w: Warehouse, settings: Settings) -> DataFrame:
             "mean_days",
             light(rate, settings).alias("light"),
         )
-        .orderBy("facility_name", "facility_id")
     )
+    return in_order(named, ["facility_name", "facility_id"], ordered)
 
 
 def specialty_stays(w: Warehouse, settings: Settings) -> DataFrame:
@@ -125,16 +145,16 @@ def specialty_stays(w: Warehouse, settings: Settings) -> DataFrame:
     return dedup.keep_last(rows, s.STAY, ["discharge_date"])
 
 
-def stay_by_specialty(w: Warehouse, settings: Settings) -> DataFrame:
-    """Mean stay per specialty, longest first."""
-    return (
+def stay_by_specialty(w: Warehouse, settings: Settings, ordered: bool = False) -> DataFrame:
+    """Mean stay per specialty, longest first if ordered."""
+    means = (
         specialty_stays(w, settings)
         .groupBy("specialty")
         .agg(F.count("*").alias("stays"), F.sum("stay_days").alias("days"))
         .join(w.specialties, "specialty", "left")
         .select("specialty", "description", "stays", rounded(ratio("days", "stays"), 2).alias("mean_days"))
-        .orderBy(F.desc("mean_days"), F.asc_nulls_last("specialty"))
     )
+    return in_order(means, [F.desc("mean_days"), F.asc_nulls_last("specialty")], ordered)
 
 
 def occupancy_by_type_specialty(w: Warehouse, settings: Settings) -> DataFrame:
@@ -144,14 +164,8 @@ def occupancy_by_type_specialty(w: Warehouse, settings: Settings) -> DataFrame:
     supply = capacity.groupBy("bed_type").agg(
         F.sum("bed_days_total").alias("bed_days_total"), F.sum("bed_days_public").alias("bed_days_public")
     )
-    rows = (
-        w.admissions.filter((F.col("claim_kind") == scope.claim_kind) & (F.col("admit_date") <= F.lit(scope.end)))
-        .join(w.bridge.filter(F.col("bed_type").isin(*scope.bed_types)), "specialty")
-        .withColumn("stay_days", stay_days("admit_date", "discharge_date", "billed_days", "reported_days"))
-        .select(*s.STAY, "discharge_date", "bed_type", "specialty", "stay_days")
-    )
     demand = (
-        s.stay_months(dedup.keep_last(rows, s.STAY, ["discharge_date"]), scope)
+        s.stay_months(stays_of(w, settings), scope)
         .groupBy(*UNIT, "specialty")
         .agg(F.sum("days_here").alias("occupied_days"))
         .join(capacity.select(*UNIT), UNIT, "left_semi")
@@ -172,31 +186,42 @@ def occupancy_by_type_specialty(w: Warehouse, settings: Settings) -> DataFrame:
     )
 
 
-def specialty_deviation(w: Warehouse, settings: Settings) -> DataFrame:
-    """Share of registered bed days against share of attended days, per facility and bed type.
+def specialty_deviation(w: Warehouse, settings: Settings, bed_specialties: DataFrame) -> DataFrame:
+    """Share of registered bed days against share of attended days, per facility and specialty.
 
-    The windows run over the bed types of one facility, as many rows as the scope has types.
+    ``bed_specialties`` tells the specialty that a bed code is registered for (bed_code, specialty); beds of other codes
+    stand under a missing specialty. The windows run over the specialties of one facility, as many rows as the domain has.
     """
     scope, stays = settings.scope, stays_of(w, settings)
-    supply = b.capacity_by_month(w.beds, scope).groupBy("facility_id", "bed_type").agg(
-        F.sum("bed_days_total").alias("registered")
-    )
-    demand = (
-        s.occupied_days_monthly(stays, scope)
-        .groupBy("facility_id", "bed_type")
-        .agg(F.sum("occupied_days").alias("attended"))
+    month = F.to_date(F.concat("period", F.lit("01")), "yyyyMMdd")
+    codes = b.in_scope(w.beds, scope).groupBy("facility_id", "bed_code", "period").agg(F.sum("beds_total").alias("beds"))
+    supply = (
+        codes.join(bed_specialties.dropDuplicates(["bed_code"]), "bed_code", "left")
+        .groupBy("facility_id", "specialty")
+        .agg(F.sum(F.col("beds") * F.dayofmonth(F.last_day(month))).alias("registered"))
     )
+    demand = s.stay_months(stays, scope).groupBy("facility_id", "specialty").agg(F.sum("days_here").alias("attended"))
     facility = Window.partitionBy("facility_id")
     share = {
         f"{c}_pct": rounded(ratio(F.coalesce(c, F.lit(0)), F.sum(c).over(facility), 100), 2)
         for c in ("registered", "attended")
     }
+    both = supply.alias("r").join(
+        demand.alias("a"),
+        (F.col("r.facility_id") == F.col("a.facility_id")) & F.col("r.specialty").eqNullSafe(F.col("a.specialty")),
+        "full_outer",
+    )
     return (
-        supply.join(demand, ["facility_id", "bed_type"], "full_outer")
+        both.select(
+            F.coalesce("r.facility_id", "a.facility_id").alias("facility_id"),
+            F.coalesce("r.specialty", "a.specialty").alias("specialty"),
+            "registered",
+            "attended",
+        )
         .withColumns(share)
         .select(
             "facility_id",
-            "bed_type",
+            "specialty",
             "registered",
             "attended",
             "registered_pct",

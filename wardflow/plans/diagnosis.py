@@ -8,7 +8,7 @@ from wardflow.functions.dates import period_of
 from wardflow.functions.numbers import ratio, rounded
 from wardflow.operators import beds as b
 from wardflow.operators.stays import STAY
-from wardflow.plans.capacity import MOVES, Warehouse, monthly
+from wardflow.plans.capacity import MOVES, Warehouse, in_order, monthly
 from wardflow.settings import Settings
 
 FACILITY_TYPE = ["facility_id", "bed_type"]
@@ -65,7 +65,9 @@ def facility_summary(w: Warehouse, settings: Settings, rows: DataFrame | None =
     return _rolled_up(w, settings, rows).select(*SUMMARY)
 
 
-def facility_diagnosis(w: Warehouse, settings: Settings, rows: DataFrame | None = None) -> DataFrame:
+def facility_diagnosis(
+    w: Warehouse, settings: Settings, rows: DataFrame | None = None, ordered: bool = False
+) -> DataFrame:
     """Occupancy pattern and gap alert per facility and type; rounded rates decide.
 
     The network's mean stay has one row per bed type of the scope.
@@ -103,8 +105,10 @@ def facility_diagnosis(w: Warehouse, settings: Settings, rows: DataFrame | None
             pattern.alias("pattern"),
             F.when(gap, f"{names.gap_alert}{t.gap_above:.0f}%").alias("gap_alert"),
         )
-        .orderBy(
-            gap.desc_nulls_last(), F.col("gap_pct").desc_nulls_last(), F.asc("facility_name"), F.asc("bed_type")
+        .transform(
+            in_order,
+            [gap.desc_nulls_last(), F.col("gap_pct").desc_nulls_last(), F.asc("facility_name"), F.asc("bed_type")],
+            ordered,
         )
     )
 
@@ -140,7 +144,7 @@ def investment_quadrant(w: Warehouse, settings: Settings, rows: DataFrame | None
     )
 
 
-def out_of_scope_share(w: Warehouse, settings: Settings) -> DataFrame:
+def out_of_scope_share(w: Warehouse, settings: Settings, ordered: bool = False) -> DataFrame:
     """Distinct stays inside and outside the mapped specialties, per facility with own beds.
 
     A stay may carry both kinds of rows, so both marks are kept per stay and only then counted.
@@ -149,11 +153,7 @@ def out_of_scope_share(w: Warehouse, settings: Settings) -> DataFrame:
     """
     scope = settings.scope
     inside = F.coalesce(F.col("bed_type").isin(*scope.bed_types), F.lit(False))
-    own_months = (
-        w.beds.filter((F.col("own_flag") == scope.own_flag) & F.col("bed_type").isin(*scope.bed_types))
-        .select("facility_id", "period")
-        .distinct()
-    )
+    own_months = b.in_scope(w.beds, scope).select("facility_id", "period").distinct()
     return (
         w.admissions.filter(
             (F.col("claim_kind") == scope.claim_kind)
@@ -181,5 +181,5 @@ def out_of_scope_share(w: Warehouse, settings: Settings) -> DataFrame:
             "stays_outside",
             rounded(ratio("stays_outside", "stays", 100), 1).alias("outside_pct"),
         )
-        .orderBy(F.desc("outside_pct"), F.asc("facility_id"))
+        .transform(in_order, [F.desc("outside_pct"), F.asc("facility_id")], ordered)
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from wardflow.functions.numbers import deviation, mean_of, ratio, rounded
 from wardflow.operators.beds import UNIT, with_labels
-from wardflow.plans.capacity import MOVES, ORDER, SPAN, Warehouse, monthly
+from wardflow.plans.capacity import MOVES, ORDER, SPAN, Warehouse, monthly, in_order
 from wardflow.settings import Settings
 
 LOS_MOVES = [f"los_{m}" for m in MOVES]
@@ -55,7 +55,9 @@ def facility_stats(w: Warehouse, settings: Settings, rows: DataFrame | None = No
     )
 
 
-def length_of_stay(w: Warehouse, settings: Settings, rows: DataFrame | None = None) -> DataFrame:
+def length_of_stay(
+    w: Warehouse, settings: Settings, rows: DataFrame | None = None, ordered: bool = False
+) -> DataFrame:
     """Mean stay per facility, type and month with its z score within the network.
 
     The network side has at most one row per month and bed type of the scope.
@@ -95,7 +97,7 @@ def length_of_stay(w: Warehouse, settings: Settings, rows: DataFrame | None = No
             .otherwise(names.within)
             .alias("status"),
         )
-        .orderBy(*ORDER)
+        .transform(in_order, ORDER, ordered)
     )
 
 

@@ -18,6 +18,9 @@ from wardflow.sources import domains
 SCOPE = Scope(date(1998, 1, 1), date(1999, 12, 31))
 SETTINGS = Settings(scope=SCOPE)
 
+# Several specialties share a bed type, so that a stay can change its specialty and keep its type.
+BRIDGE = [("01", "1"), ("02", "1"), ("03", "2"), ("04", "2")]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -192,6 +195,6 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
         admissions=admissions(spark, sf_dir),
         facilities=facilities(spark, sf_dir),
         bed_types=domains.bed_types(spark),
-        bridge=domains.specialty_bridge(spark),
+        bridge=domains.literal_table(spark, BRIDGE, ("specialty", "bed_type")),
         specialties=domains.domain(spark, "specialty"),
     )
