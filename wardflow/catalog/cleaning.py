@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F, types as T
@@ -12,7 +11,7 @@ from wardflow.catalog.heads import CORE
 from wardflow.functions import text as tx
 from wardflow.operators import calendar as cal, checks, dedup
 from wardflow.operators.upsert import upsert
-from wardflow.plans import collection, load
+from wardflow.plans import collection, load, store
 from wardflow.schemas import ADMISSION, BED, FACILITY, REGION_WIDTH
 from wardflow.sources import domains, landed
 from wardflow.streaming.ingest import ingest_new_files
@@ -49,8 +48,9 @@ def _clean_date(spark, d):
 
 def _by_region_code(spark, d):
     raw = F.concat(F.lit(" "), F.col("c_nationkey").cast("string"), F.lit(".0 "))
-    rows = tb.table(spark, d, "customer").select("c_custkey", tx.code(raw, REGION_WIDTH).alias("region_code"))
-    return rows.filter(F.col("region_code") == "000007")
+    rows = tb.table(spark, d, "customer").select("c_custkey", raw.alias("raw_code"))
+    kept = rows.filter(tx.in_region_code("raw_code", "000007"))
+    return kept.select("c_custkey", tx.code("raw_code", REGION_WIDTH).alias("region_code"))
 
 
 def _by_region_name(spark, d):
@@ -59,7 +59,7 @@ def _by_region_name(spark, d):
         F.concat(F.lit("  "), F.lower("n_name"), F.lit("\t")).alias("municipality"),
     )
     rows = tb.table(spark, d, "supplier").join(nations, "s_nationkey")
-    return rows.filter(F.upper(tx.text("municipality")) == "NATION_7").select("s_suppkey", "s_nationkey")
+    return rows.filter(tx.in_region_name("municipality", "NATION_7")).select("s_suppkey", "s_nationkey")
 
 
 CLEAN_BED = BED.from_columns(
@@ -118,12 +118,11 @@ def _clean_admissions(spark, d):
     return load.prepare_admissions(load.consolidate_admissions(tb.raw_admissions(tb.admissions(spark, d))), ADMISSION)
 
 
-def _test_domain(spark):
-    return domains.literal_table(spark, domains.SPECIALTIES[:5], ("specialty", "description"))
-
-
 def _orphan_split(spark, d):
-    accepted, rejected = checks.split_orphans(tb.admissions(spark, d), "specialty", _test_domain(spark))
+    """The whole domain; a code outside of it is planted in every fifteenth claim."""
+    foreign = F.when(F.col("l_partkey") % 15 == 0, "77").otherwise(F.col("specialty"))
+    claims = tb.admissions(spark, d).withColumn("specialty", foreign)
+    accepted, rejected = checks.split_orphans(claims, "specialty", domains.domain(spark, "specialty"))
     marked = accepted.withColumn("verdict", F.lit("accepted")).unionByName(
         rejected.withColumn("verdict", F.lit("rejected"))
     )
@@ -203,10 +202,15 @@ def _load_summary(spark, d):
     )
 
 
+def _scratch(spark) -> str:
+    """A new folder under storage that driver and executors share."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/wardflow-{uuid.uuid4().hex}"
+
+
 def _incremental_ingest(spark, d):
     """Streams the claim file into a scratch warehouse and returns the resulting table."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    scratch = f"{shared.rstrip('/')}/ingest-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="ingest-")
+    scratch = _scratch(spark)
     ingest_new_files(
         spark,
         f"{d}/lineitem.parquet",
@@ -216,7 +220,66 @@ def _incremental_ingest(spark, d):
         f"{scratch}/progress",
         lambda batch: load.consolidate_admissions(tb.raw_admissions(tb.admissions(spark, d, lineitem=batch))),
     ).awaitTermination()
-    return landed.read_table(spark, f"{scratch}/warehouse/admission", ADMISSION.schema).select(*ADMISSION.columns)
+    return store.read(spark, f"{scratch}/warehouse", "admission", ADMISSION.schema)
+
+
+LANDED_BED = {
+    "CNES": "cnes", "CODLEITO": "bed_code", "TP_LEITO": "bed_type", "COMPETEN": "period", "QT_EXIST": "beds_total", "QT_SUS": "beds_public",
+}
+
+
+def _two_loads(spark, d):
+    """Two loads of the raw beds, first the early months and then all of them: warehouse folder and reports."""
+    raw = _flagged(spark, d).select(*[F.col(c).alias(n) for n, c in LANDED_BED.items()], "own_flag", "copy_no")
+    raw = raw.withColumns({landed.FILE: F.lit("beds"), landed.ROW: F.col("copy_no").cast("long")}).drop("copy_no")
+    house = f"{_scratch(spark)}/warehouse"
+    early = raw.filter(tx.period("COMPETEN") < "199901")
+    return house, [load.load(spark, {"bed": rows}, house, run=run) for run, rows in (("first", early), ("second", raw))]
+
+
+def _load_report(spark, d):
+    """What became of every row of the two loads."""
+    _, reports = _two_loads(spark, d)
+    rows = []
+    for r in reports:
+        t = r.tables["bed"]
+        rows.append((r.run, t.read, t.null_keys, t.repeated, sum(t.rejected.values()), t.accepted, r.stored["bed"], t.read - t.null_keys - t.repeated))
+    return spark.createDataFrame(rows, "run string, read long, null_keys long, repeated long, rejected long, accepted long, stored long, kept_keys long")
+
+
+def _load_rejects(spark, d):
+    """Rejected rows by load and code, as they lie in the rejects' folder."""
+    house, _ = _two_loads(spark, d)
+    rejects = spark.read.csv(f"{house}/_rejects/bed", header=True)
+    return rejects.groupBy("run", F.col("_reject").alias("rejected_by"), F.lpad(F.col("bed_code").cast("string"), 2, "0").alias("bed_code")).agg(
+        F.count("*").alias("row_count")
+    )
+
+
+def _drifting_files(spark, d):
+    """Lineitem as one file per year, whose columns and types change from year to year, read back as one table."""
+    target = f"{_scratch(spark)}/landed"
+    li = tb.table(spark, d, "lineitem")
+    year = F.year("l_shipdate")
+    years = [r[0] for r in li.select(year.alias("y")).distinct().orderBy("y").collect()]
+    shapes = [
+        ["l_orderkey", "l_linenumber", "l_quantity"],
+        ["l_orderkey", F.col("l_linenumber").cast("string").alias("l_linenumber"), "l_returnflag"],
+        [F.concat(F.col("l_orderkey").cast("string"), F.lit(".0")).alias("l_orderkey"), "l_linenumber", "l_quantity"],
+    ]
+    for y in years:
+        li.filter(year == y).select(*shapes[y % 3]).write.parquet(f"{target}/{y}")
+    return landed.read_consolidated(spark, [[f"{target}/*"]], CONSOLIDATED, with_order=False)
+
+
+def _dedup_keep_last(spark, d):
+    """The last row of each key by file and row of real files: the copies lie in a later file."""
+    target = f"{_scratch(spark)}/landed"
+    raw = tb.raw_beds(spark, d)
+    for copy in (0, 1):
+        raw.filter(F.col("copy_no") == copy).write.parquet(f"{target}/part-{copy}")
+    rows = landed.read_files(spark, [f"{target}/part-0", f"{target}/part-1"])
+    return dedup.keep_last(rows, RAW_KEY, [landed.FILE, landed.ROW]).drop(landed.FILE, landed.ROW)
 
 
 QUERIES = {
@@ -254,7 +317,10 @@ QUERIES = {
     "scope_filter_report": lambda spark, d: checks.scope_report(
         tb.beds(spark, d), F.col("bed_type").isin("1", "2")
     ),
-    "dedup_keep_last": lambda spark, d: dedup.keep_last(tb.raw_beds(spark, d), RAW_KEY, ["copy_no"]),
+    "dedup_keep_last": _dedup_keep_last,
+    "ingest_drifting_files": _drifting_files,
+    "load_report": _load_report,
+    "load_rejects": _load_rejects,
     "dedup_sum": _dedup_sum,
     "dedup_max_sequence": lambda spark, d: dedup.keep_last(
         tb.admissions(spark, d).select(*STORED), STORED_KEY, ["seq"]
@@ -327,6 +393,12 @@ EXPECTED = """
                  AS period)
 """
 
+TWO_LOADS = f"""
+, known AS (SELECT unnest([{', '.join(repr(code) for code, _ in domains.BED_CODES)}]) AS code),
+loads AS (
+  SELECT run, CASE WHEN {TRIMMED} IS NOT NULL THEN {FACILITY_ID} END AS key_id, bed_code, {DIGITS} AS period
+  FROM raw_bed JOIN (VALUES ('first', '199901'), ('second', '999999')) r(run, until) ON {DIGITS} < until)
+"""
 ORACLES = {
     "ingest_tolerant_union": """
 SELECT l_orderkey, l_linenumber, CASE WHEN year(l_shipdate) < 1998 THEN l_quantity END AS l_quantity,
@@ -395,14 +467,35 @@ SELECT cnes, bed_code, period, first(bed_type ORDER BY copy_no, bed_type) AS bed
        CAST(coalesce(sum(beds_public), (SELECT zero FROM fill)) AS INTEGER) AS beds_public
 FROM once GROUP BY cnes, bed_code, period""",
     "dedup_max_sequence": CORE + _kept("admission"),
+    "ingest_drifting_files": """
+SELECT l_orderkey, l_linenumber, CASE WHEN year(l_shipdate) % 3 <> 1 THEN l_quantity END AS l_quantity,
+       CASE WHEN year(l_shipdate) % 3 = 1 THEN l_returnflag END AS l_returnflag, CAST(NULL AS VARCHAR) AS l_comment
+FROM lineitem""",
+    "load_report": CORE
+    + TWO_LOADS
+    + """
+, keyed AS (
+  SELECT run, bed_code IN (FROM known) AS fine, COUNT(*) AS n, key_id IS NULL AS gone
+  FROM loads GROUP BY run, key_id, bed_code, period)
+SELECT run, SUM(n)::BIGINT AS read, coalesce(SUM(n) FILTER (gone), 0)::BIGINT AS null_keys,
+       (SUM(n) FILTER (NOT gone) - COUNT(*) FILTER (NOT gone))::BIGINT AS repeated,
+       COUNT(*) FILTER (NOT gone AND NOT fine) AS rejected, COUNT(*) FILTER (NOT gone AND fine) AS accepted,
+       COUNT(*) FILTER (NOT gone AND fine) AS stored, COUNT(*) FILTER (NOT gone) AS kept_keys
+FROM keyed GROUP BY run""",
+    "load_rejects": CORE
+    + TWO_LOADS
+    + """
+SELECT run, 'bed_code' AS rejected_by, bed_code, COUNT(DISTINCT (key_id, bed_code, period)) AS row_count
+FROM loads WHERE bed_code NOT IN (FROM known) AND key_id IS NOT NULL GROUP BY ALL""",
     "clean_facilities": CORE + RAW_FACILITY + FACILITY_SQL,
     "clean_beds": CORE + BED_SQL + "SELECT * FROM clean_bed",
     "clean_admissions": CORE + ADMISSION_SQL,
     "incremental_ingest": CORE + ADMISSION_SQL,
     "orphan_split": CORE
     + """
-SELECT CASE WHEN specialty IS NULL OR specialty <= '05' THEN 'accepted' ELSE 'rejected' END AS verdict, specialty,
-       COUNT(*) AS row_count FROM admission GROUP BY ALL""",
+, coded AS (SELECT CASE WHEN l_partkey % 15 = 0 THEN '77' ELSE specialty END AS specialty FROM admission)
+SELECT CASE WHEN specialty IS NULL OR specialty IN (SELECT specialty FROM specialties) THEN 'accepted' ELSE 'rejected' END AS verdict,
+       specialty, COUNT(*) AS row_count FROM coded GROUP BY ALL""",
     "orphan_summary": CORE
     + """
 SELECT bed_code, COUNT(*) AS row_count FROM bed WHERE bed_code IN ('21', '22') GROUP BY ALL""",

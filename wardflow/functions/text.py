@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from wardflow.schemas import REGION_CODE, REGION_NAME, REGION_WIDTH
+
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 # Every character that counts as white space.
@@ -47,7 +49,9 @@ def code(c, width: int | None = None) -> Column:
 
 
 def digits(c) -> Column:
-    return F.regexp_replace(_col(c), r"[^0-9]", "")
+    """Digits alone; a month of six digits passes as it is."""
+    c = _col(c)
+    return F.when(c.rlike(r"^[0-9]{6}$"), c).otherwise(F.regexp_replace(c, r"[^0-9]", ""))
 
 
 def period(c) -> Column:
@@ -84,8 +88,17 @@ def bad_integer(c) -> Column:
 
 
 def day(c, pattern: str = "yyyyMMdd") -> Column:
-    """Date from text; anything unparsable becomes null."""
-    return F.try_to_date(_col(c).cast("string"), pattern)
+    """Date from text; anything unparsable becomes null.
+
+    Text without the pattern's shape, with a month over 12 or with zeros for a month or day is told by its characters: a
+    failing parse costs an exception per row.
+    """
+    t = _col(c).cast("string")
+    month = {"yyyyMMdd": 5, "yyyy-MM-dd": 6}.get(pattern)
+    if month is None:
+        return F.try_to_date(t, pattern)
+    shape = r"^[0-9]{4}(0[1-9]|1[0-2])(0[1-9]|[12][0-9]|3[01])$" if month == 5 else r"^[0-9]{4}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])$"
+    return F.when(t.rlike(shape), F.try_to_date(t, pattern))
 
 
 def without_sentinels(c, *sentinels: str) -> Column:
@@ -97,3 +110,13 @@ def without_sentinels(c, *sentinels: str) -> Column:
 def equals_flag(c, value: str) -> Column:
     """1 / 0 for equal / different, null for null."""
     return (_col(c) == F.lit(value)).cast("int")
+
+
+def in_region_code(c, region: str = REGION_CODE) -> Column:
+    """True for the region's rows by municipality code, however that is padded or typed."""
+    return F.coalesce(code(c, REGION_WIDTH) == region, F.lit(False))
+
+
+def in_region_name(c, region: str = REGION_NAME) -> Column:
+    """True for the region's rows by municipality name."""
+    return F.coalesce(F.upper(text(c)) == region.upper(), F.lit(False))

@@ -58,12 +58,17 @@ def drop_null_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.dropna(subset=list(keys))
 
 
-def length_violations(df: DataFrame, limits: dict[str, int]) -> DataFrame:
-    """One row per limited column: too long values and the smallest example, from a single pass."""
+def length_marks(limits: dict[str, int]) -> list[Column]:
+    """Counts and smallest examples of too long values, as aggregates for one pass."""
     marks = []
     for c, limit in limits.items():
         long = F.length(c) > limit
         marks += [F.count_if(long).alias(f"n_{c}"), F.min(F.when(long, F.col(c))).alias(f"x_{c}")]
+    return marks
+
+
+def length_violations(df: DataFrame, limits: dict[str, int]) -> DataFrame:
+    """One row per limited column: too long values and the smallest example, from a single pass."""
     rows = [
         F.struct(
             F.lit(c).alias("column_name"),
@@ -73,43 +78,53 @@ def length_violations(df: DataFrame, limits: dict[str, int]) -> DataFrame:
         )
         for c, limit in limits.items()
     ]
-    return df.agg(*marks).select(F.inline(F.array(*rows)))
+    return df.agg(*length_marks(limits)).select(F.inline(F.array(*rows)))
+
+
+def raise_for_lengths(found: dict, limits: dict[str, int], what: str) -> None:
+    """Fails on the outcome of :func:`length_marks`, naming the column, the count and an example."""
+    bad = [
+        f"{what}.{c}: {found[f'n_{c}']} value(s) longer than {limit}, for example {found[f'x_{c}']!r}"
+        for c, limit in limits.items()
+        if found[f"n_{c}"]
+    ]
+    if bad:
+        raise ValueError("; ".join(bad))
 
 
 def require_lengths(df: DataFrame, limits: dict[str, int], what: str) -> None:
     """Runs a job; fails naming the column, the count and an example."""
-    if not limits:
-        return
-    bad = length_violations(df, limits).filter("violations > 0").collect()
-    if bad:
-        raise ValueError(
-            "; ".join(
-                f"{what}.{r.column_name}: {r.violations} value(s) longer than {r.max_length}, "
-                f"for example {r.example!r}"
-                for r in bad
-            )
-        )
+    if limits:
+        raise_for_lengths(df.agg(*length_marks(limits)).first().asDict(), limits, what)
 
 
-def require_table(raw: DataFrame, spec: TableSpec) -> None:
-    """All guards on the raw rows of one table, from a single pass.
+def raw_marks(spec: TableSpec) -> list[Column]:
+    """Row count, months that are no ``yyyyMM`` and numbers that are fractional or do not fit, as aggregates."""
+    marks = [F.count("*").alias("rows_read")]
+    for f in spec.fields_of("period"):
+        bad = tx.bad_period(f.source)
+        marks += [F.count_if(bad).alias(f"p_{f.source}"), F.min(F.when(bad, F.col(f.source).cast("string"))).alias(f"e_{f.source}")]
+    return marks + [F.count_if(tx.bad_integer(f.source)).alias(f"n_{f.source}") for f in spec.fields_of("integer")]
 
-    Fails on months that are no ``yyyyMM`` and on numbers that are fractional or do not fit.
-    """
-    require_columns(raw, [f.source for f in spec.fields], spec.name)
-    periods = [f.source for f in spec.fields_of("period")]
-    numbers = [f.source for f in spec.fields_of("integer")]
-    marks = [F.count_if(tx.bad_period(c)).alias(f"p_{c}") for c in periods]
-    marks += [F.count_if(tx.bad_integer(c)).alias(f"n_{c}") for c in numbers]
-    counts = raw.agg(*marks).first().asDict()
-    for c in periods:
-        if counts[f"p_{c}"]:
-            require_periods(raw, c, spec.name)
-    bad = {c: counts[f"n_{c}"] for c in numbers if counts[f"n_{c}"]}
+
+def raise_for_raw(found: dict, spec: TableSpec) -> None:
+    """Fails on the outcome of :func:`raw_marks`."""
+    for f in spec.fields_of("period"):
+        if found[f"p_{f.source}"]:
+            raise ValueError(
+                f"{spec.name}: {found[f'p_{f.source}']} periods that are no yyyyMM month, for example {found[f'e_{f.source}']!r}"
+            )
+    bad = {f.source: found[f"n_{f.source}"] for f in spec.fields_of("integer") if found[f"n_{f.source}"]}
     if bad:
         raise ValueError(f"{spec.name}: values that are no whole 32-bit number: {bad}")
 
 
+def require_table(raw: DataFrame, spec: TableSpec) -> None:
+    """All guards on the raw rows of one table, from a single pass."""
+    require_columns(raw, [f.source for f in spec.fields], spec.name)
+    raise_for_raw(raw.agg(*raw_marks(spec)).first().asDict(), spec)
+
+
 def split_orphans(df: DataFrame, column: str, domain: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected): a code outside the domain is rejected, a missing code passes."""
     known = domain.select(column).distinct()

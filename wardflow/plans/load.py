@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from wardflow.functions import text as tx
 from wardflow.operators import checks, dedup
 from wardflow.operators.upsert import upsert
+from wardflow.plans import store
 from wardflow.schemas import (
     ADMISSION,
     BED,
@@ -28,7 +30,7 @@ def consolidate_beds(raw: DataFrame, own_payer: str = OWN_PAYER_ID, bed_types=("
     payers = {c: tx.without_sentinels(c, EMPTY_PAYER_ID) for c in ("CPF_CNPJ", "CNPJ_MAN")}
     return (
         raw.withColumns(payers)
-        .withColumn("FLAG_CNPJ_NATJUR", tx.equals_flag("CNPJ_MAN", own_payer).cast("long"))
+        .withColumn("own_flag", tx.equals_flag("CNPJ_MAN", own_payer).cast("long"))
         .filter(F.col("TP_LEITO").isin(*bed_types))
     )
 
@@ -84,30 +86,50 @@ def typed(raw: DataFrame, spec: TableSpec, carry: list[str] | None = None) -> Da
 
 
 def _order(raw: DataFrame, order: list[str] | None) -> list[str]:
-    return order if order is not None else [c for c in (landed.FILE, landed.ROW) if c in raw.columns]
+    """Columns that tell which row came last; without them the choice would fall to other columns unnoticed."""
+    order = order if order is not None else [landed.FILE, landed.ROW]
+    missing = [c for c in order if c not in raw.columns]
+    if missing:
+        raise ValueError(f"rows need their position {missing}; readers of landed files add it")
+    return order
+
+
+def _last_facility(rows: DataFrame, spec: TableSpec, order: list[str]) -> DataFrame:
+    return dedup.keep_last(rows, list(spec.key), order).select(*spec.columns)
+
+
+def _merged_beds(rows: DataFrame, spec: TableSpec, order: list[str]) -> DataFrame:
+    firsts = [c for c in ("bed_type", "own_flag") if c in spec.columns]
+    at = rows.withColumn("_at", F.struct(*order))
+    return dedup.merged_repeats(at, list(spec.key), BED_SUMS, firsts, "_at").select(*spec.columns, "_rows")
+
+
+def _last_claim(rows: DataFrame, spec: TableSpec, order: list[str]) -> DataFrame:
+    return dedup.keep_last(rows, list(spec.key), ["seq", *order]).select(*spec.columns)
 
 
 def prepare_facilities(raw: DataFrame, spec: TableSpec = FACILITY, order: list[str] | None = None) -> DataFrame:
     """Dimension: the last row in file order per key."""
     order = _order(raw, order)
-    return dedup.keep_last(cleaned(raw, spec, order), list(spec.key), order).select(*spec.columns)
+    return _last_facility(cleaned(raw, spec, order), spec, order)
 
 
 def prepare_beds(raw: DataFrame, spec: TableSpec = BED, order: list[str] | None = None) -> DataFrame:
     """Bed fact: exact copies dropped, quantities of remaining repeats added up."""
     order = _order(raw, order)
-    rows = cleaned(raw, spec, order).withColumn("_at", F.struct(*order) if order else F.lit(0))
-    firsts = [c for c in ("bed_type", "own_flag") if c in spec.columns]
-    return dedup.sum_repeats(rows, list(spec.key), ["beds_total", "beds_public"], firsts, "_at").select(*spec.columns)
+    merged = _merged_beds(cleaned(raw, spec, order), spec, order)
+    repeats = merged.agg(F.coalesce(F.max("_rows") > 1, F.lit(False))).scalar()
+    return dedup.with_quantities(merged, BED_SUMS, repeats).select(*spec.columns)
 
 
 def prepare_admissions(raw: DataFrame, spec: TableSpec = ADMISSION, order: list[str] | None = None) -> DataFrame:
-    """Claim fact: the greatest sequence (as text) per key."""
-    order = _order(raw, order)
-    return dedup.keep_last(cleaned(raw, spec, order), list(spec.key), ["seq", *order]).select(*spec.columns)
+    """Claim fact: the greatest sequence (as text) per key; the file order decides between equal ones, if it is there."""
+    order = order if order is not None else [c for c in (landed.FILE, landed.ROW) if c in raw.columns]
+    return _last_claim(cleaned(raw, spec, order), spec, order)
 
 
-PREPARE = {"facility": prepare_facilities, "bed": prepare_beds, "admission": prepare_admissions}
+BED_SUMS = ["beds_total", "beds_public"]
+REDUCE = {"facility": _last_facility, "bed": _merged_beds, "admission": _last_claim}
 SPECS = {"facility": FACILITY, "bed": BED, "admission": ADMISSION}
 
 
@@ -123,53 +145,78 @@ def without_orphans(rows: DataFrame, spec: TableSpec, known: dict[str, DataFrame
 
 
 @dataclass(frozen=True)
-class LoadReport:
-    """Rows accepted and rejected per table, and rows in the warehouse after the load."""
+class TableReport:
+    """What became of the rows of one table: read = null_keys + repeated + rejected + accepted."""
 
-    accepted: dict[str, int]
+    read: int
+    null_keys: int
+    repeated: int
     rejected: dict[str, int]
+    accepted: int
+    top_rejects: dict[str, list[tuple[str, int]]]
+
+
+@dataclass(frozen=True)
+class LoadReport:
+    """Reports per table, and rows per table in the warehouse after the load."""
+
+    run: str
+    tables: dict[str, TableReport]
     stored: dict[str, int]
 
+    @property
+    def accepted(self) -> dict[str, int]:
+        return {name: t.accepted for name, t in self.tables.items()}
+
+    @property
+    def rejected(self) -> dict[str, int]:
+        return {name: sum(t.rejected.values()) for name, t in self.tables.items()}
 
-def _staged(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    """Write and read back: later steps start from files, not from the whole computation."""
-    df.hint("rebalance", "period").write.mode("overwrite").partitionBy("period").parquet(path)
-    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
+REJECT = "_reject"
 
-def _stage_table(spark, raw, spec, warehouse, known):
-    """Everything of one table except publishing: returns its merged partitions and counts.
 
-    The cleaned rows are written once; the splits by domain are plain filters over those files.
+def marked(rows: DataFrame, spec: TableSpec, known: dict[str, DataFrame]) -> DataFrame:
+    """Rows with the first column whose code is outside its domain, null for accepted rows; domains are small tables."""
+    reasons = []
+    for column in spec.domains:
+        codes = known[column].select(column).distinct().withColumn(f"_known_{column}", F.lit(True))
+        rows = rows.join(codes, column, "left")
+        reasons.append(F.when(F.col(column).isNotNull() & F.col(f"_known_{column}").isNull(), F.lit(column)))
+    reason = F.coalesce(*reasons) if reasons else F.lit(None).cast("string")
+    return rows.withColumn(REJECT, reason).drop(*[f"_known_{c}" for c in spec.domains])
+
+
+def _stage_table(spark, raw, spec, staging, known):
+    """Cleans, checks, reduces and marks one table's rows in a single pass and write.
+
+    Counts and examples come from the same pass. Returns the staged rows and the report.
     """
-    checks.require_table(raw, spec)
-    prepared = _staged(spark, PREPARE[spec.name](raw, spec), f"{warehouse}/_staging/prepared/{spec.name}")
-    checks.require_lengths(prepared, spec.limits, spec.name)
-    batch, rejects = without_orphans(prepared, spec, known)
-    rejected = 0
-    for column, bad in rejects.items():
-        landed.write_rejects(bad, f"{warehouse}/_rejects", spec.name, column)
-        rejected += bad.count()
-    accepted = batch.count()
-    stored = landed.read_table(spark, f"{warehouse}/{spec.name}", spec.schema)
-    if stored is None:
-        return batch, accepted, rejected
-    # The key holds the period, so only the batch's months can change; there are few of them.
-    months = [r.period for r in prepared.select("period").distinct().collect()]
-    touched = stored.select(*spec.columns).filter(F.col("period").isin(months))
-    merged = upsert(touched, batch, list(spec.key))
-    return _staged(spark, merged, f"{warehouse}/_staging/merged/{spec.name}"), accepted, rejected
-
-
-def _publish(staged: DataFrame, path: str) -> None:
-    """Replace exactly the staged months of a table; other months stay as they are."""
-    (
-        staged.hint("rebalance", "period")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("period")
-        .parquet(path)
-    )
+    checks.require_columns(raw, [f.source for f in spec.fields], spec.name)
+    order = [c for c in (landed.FILE, landed.ROW) if c in raw.columns] if spec.name == "admission" else _order(raw, None)
+    before, keyed, after = Observation(), Observation(), Observation()
+    watched = raw.observe(before, *checks.raw_marks(spec))
+    rows = typed(watched, spec, order).observe(keyed, F.count_if(checks.any_null(spec.key)).alias("null_keys"))
+    reduced = marked(REDUCE[spec.name](checks.drop_null_keys(rows, list(spec.key)), spec, order), spec, known)
+    counts = [F.count_if(F.col(REJECT) == c).alias(f"r_{c}") for c in spec.domains]
+    largest = [F.max("_rows").alias("most")] if "_rows" in reduced.columns else []
+    reduced = reduced.observe(after, F.count("*").alias("rows"), *counts, *largest, *checks.length_marks(spec.limits))
+    path = f"{staging}/{spec.name}"
+    reduced.write.mode("overwrite").parquet(path)
+    checks.raise_for_raw(before.get, spec)
+    checks.raise_for_lengths(after.get, spec.limits, spec.name)
+    staged = spark.read.schema(reduced.schema).parquet(path)
+    if largest:
+        staged = dedup.with_quantities(staged, BED_SUMS, F.lit((after.get["most"] or 0) > 1)).drop("_rows")
+    rejected = {c: after.get[f"r_{c}"] for c in spec.domains}
+    top = {
+        c: [(r[0], r[1]) for r in checks.orphan_summary(staged.filter(F.col(REJECT) == c), c).collect()]
+        for c, n in rejected.items()
+        if n
+    }
+    read, null_keys, left = before.get["rows_read"], keyed.get["null_keys"], after.get["rows"]
+    report = TableReport(read, null_keys, read - null_keys - left, rejected, left - sum(rejected.values()), top)
+    return staged, report
 
 
 def stored_domains(spark: SparkSession) -> dict[str, DataFrame]:
@@ -177,27 +224,38 @@ def stored_domains(spark: SparkSession) -> dict[str, DataFrame]:
 
 
 def load(
-    spark: SparkSession, inputs: dict[str, DataFrame], warehouse: str, dry_run: bool = False
+    spark: SparkSession, inputs: dict[str, DataFrame], warehouse: str, dry_run: bool = False, run: str | None = None
 ) -> LoadReport:
     """Upsert consolidated tables into the warehouse, all or nothing.
 
-    Every table is cleaned, checked and merged into a staging folder first; only when all of them
-    passed are the staged months published, dimension first. A failure before that leaves the
-    warehouse untouched; one in between is repaired by running the same load again, as upserts
-    repeat without effect. ``dry_run`` stops before publishing.
+    Every table is cleaned, checked and staged first; only when all of them passed are rejects written, to a folder of
+    this run, and the months of the batch merged into new files. Replacing the pointer file then publishes all tables at
+    once, so a failure before leaves the warehouse as it was. A run of the same name replaces its own files and rejects;
+    loading rows again has no effect. ``dry_run`` stops after the checks and writes nothing but its report.
     """
-    known = stored_domains(spark)
-    staged, accepted, rejected = {}, {}, {}
+    run = run or uuid.uuid4().hex
+    known, staging = stored_domains(spark), f"{warehouse}/_staging/{run}"
+    staged, reports = {}, {}
     for name, spec in SPECS.items():
         if name in inputs:
-            staged[name], accepted[name], rejected[name] = _stage_table(
-                spark, inputs[name], spec, warehouse, known
-            )
+            staged[name], reports[name] = _stage_table(spark, inputs[name], spec, staging, known)
     if not dry_run:
+        changes = {}
         for name, rows in staged.items():
-            _publish(rows, f"{warehouse}/{name}")
-    tables = {name: landed.read_table(spark, f"{warehouse}/{name}") for name in SPECS}
-    return LoadReport(accepted, rejected, {n: t.count() if t is not None else 0 for n, t in tables.items()})
+            spec, rejected = SPECS[name], reports[name].rejected
+            if any(rejected.values()):
+                landed.write_rejects(rows.filter(F.col(REJECT).isNotNull()), f"{warehouse}/_rejects", run, name, REJECT)
+            batch = rows.filter(F.col(REJECT).isNull()).drop(REJECT)
+            # The key holds the period, so only the batch's months can change; there are few of them.
+            months = [r.period for r in batch.select("period").distinct().collect()]
+            held = store.read(spark, warehouse, name, spec.schema, months)
+            merged = batch if held is None else upsert(held.select(*spec.columns), batch, list(spec.key))
+            changes[name] = store.write(merged.select(*spec.columns), warehouse, name, run)
+        store.switch(spark, warehouse, changes)
+    if staged:
+        store.discard(spark, staging)
+    published = store.current(spark, warehouse)
+    return LoadReport(run, reports, {n: sum(m["rows"] for m in published.get(n, {}).values()) for n in SPECS})
 
 
 def load_summary(tables: dict[str, DataFrame]) -> DataFrame:

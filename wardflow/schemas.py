@@ -85,7 +85,7 @@ BED = TableSpec(
         Field("period", "COMPETEN", "period"),
         Field("beds_total", "QT_EXIST", "integer"),
         Field("beds_public", "QT_SUS", "integer"),
-        Field("own_flag", "FLAG_CNPJ_NATJUR", "integer"),
+        Field("own_flag", "own_flag", "integer"),
     ),
     domains=("bed_code", "bed_type"),
 )
@@ -117,20 +117,54 @@ ADMISSION = TableSpec(
 )
 
 
-def _raw(strings: str, longs: str = "") -> T.StructType:
-    return T.StructType(
-        [T.StructField(c, T.StringType()) for c in strings.split()]
-        + [T.StructField(c, T.LongType()) for c in longs.split()]
-    )
-
-
 # Columns and types taken from each landed source.
-RAW_BED = _raw("COMPETEN CNES CPF_CNPJ CODUFMUN TP_LEITO CODLEITO CNPJ_MAN", "QT_EXIST QT_SUS NAT_JUR")
-RAW_ADMISSION = _raw(
-    "UF_ZI ANO_CMPT MES_CMPT ESPEC CGC_HOSP MUNIC_MOV DT_INTER DT_SAIDA IDENT N_AIH CNES SEQUENCIA "
-    "PROC_REA MUNIC_RES SEXO MORTE",
-    "QT_DIARIAS DIAS_PERM IDADE",
+RAW_BED = T.StructType(
+    [
+        T.StructField("COMPETEN", T.StringType()),
+        T.StructField("CNES", T.StringType()),
+        T.StructField("CPF_CNPJ", T.StringType()),
+        T.StructField("CODUFMUN", T.StringType()),
+        T.StructField("TP_LEITO", T.StringType()),
+        T.StructField("CODLEITO", T.StringType()),
+        T.StructField("CNPJ_MAN", T.StringType()),
+        T.StructField("QT_EXIST", T.LongType()),
+        T.StructField("QT_SUS", T.LongType()),
+        T.StructField("NAT_JUR", T.LongType()),
+    ]
+)
+RAW_ADMISSION = T.StructType(
+    [
+        T.StructField("UF_ZI", T.StringType()),
+        T.StructField("ANO_CMPT", T.StringType()),
+        T.StructField("MES_CMPT", T.StringType()),
+        T.StructField("ESPEC", T.StringType()),
+        T.StructField("CGC_HOSP", T.StringType()),
+        T.StructField("MUNIC_MOV", T.StringType()),
+        T.StructField("DT_INTER", T.StringType()),
+        T.StructField("DT_SAIDA", T.StringType()),
+        T.StructField("IDENT", T.StringType()),
+        T.StructField("N_AIH", T.StringType()),
+        T.StructField("CNES", T.StringType()),
+        T.StructField("SEQUENCIA", T.StringType()),
+        T.StructField("PROC_REA", T.StringType()),
+        T.StructField("MUNIC_RES", T.StringType()),
+        T.StructField("SEXO", T.StringType()),
+        T.StructField("MORTE", T.StringType()),
+        T.StructField("QT_DIARIAS", T.LongType()),
+        T.StructField("DIAS_PERM", T.LongType()),
+        T.StructField("IDADE", T.LongType()),
+    ]
 )
-RAW_FACILITY = _raw(
-    "COMP CO_IBGE MUNICIPIO CNES NOME_ESTABELECIMENTO RAZAO_SOCIAL TP_GESTAO", "LEITOS_EXISTENTES LEITOS_SUS"
+RAW_FACILITY = T.StructType(
+    [
+        T.StructField("COMP", T.StringType()),
+        T.StructField("CO_IBGE", T.StringType()),
+        T.StructField("MUNICIPIO", T.StringType()),
+        T.StructField("CNES", T.StringType()),
+        T.StructField("NOME_ESTABELECIMENTO", T.StringType()),
+        T.StructField("RAZAO_SOCIAL", T.StringType()),
+        T.StructField("TP_GESTAO", T.StringType()),
+        T.StructField("LEITOS_EXISTENTES", T.LongType()),
+        T.StructField("LEITOS_SUS", T.LongType()),
+    ]
 )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -11,13 +13,21 @@ FILE, ROW = "_file", "_row"
 
 
 def strict_cast(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Wanted columns in wanted types; a missing column becomes null, a bad value fails (ANSI cast)."""
-    extra = [c for c in (FILE, ROW) if c in df.columns]
-    have = set(df.columns)
-    columns = [
-        (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields
-    ]
-    return df.select(*columns, *extra)
+    """Wanted columns in wanted types; a missing column becomes null, a bad value fails (ANSI cast).
+
+    Text such as ``3.0``, as float columns leave it behind, is a whole number.
+    """
+    types = dict(df.dtypes)
+
+    def wanted(f):
+        if f.name not in types:
+            return F.lit(None)
+        if types[f.name] == "string" and isinstance(f.dataType, T.IntegralType):
+            return F.regexp_replace(f.name, r"\.0*$", "")
+        return F.col(f.name)
+
+    extra = [c for c in (FILE, ROW) if c in types]
+    return df.select(*[wanted(f).cast(f.dataType).alias(f.name) for f in schema.fields], *extra)
 
 
 def union_layouts(spark: SparkSession, frames: list[DataFrame], schema: T.StructType) -> DataFrame:
@@ -27,25 +37,48 @@ def union_layouts(spark: SparkSession, frames: list[DataFrame], schema: T.Struct
     return reduce(DataFrame.unionByName, [strict_cast(f, schema) for f in frames])
 
 
-def read_files(spark: SparkSession, paths: list[str], with_order: bool = False, **options) -> DataFrame:
-    """One scan over Parquet files or globs; ``with_order`` adds the file and row position."""
+def with_position(df: DataFrame) -> DataFrame:
+    """Rows read from files with the file and the place in it that each comes from; streams have them too."""
+    return df.select("*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW))
+
+
+def read_files(spark: SparkSession, paths: list[str], with_order: bool = True, **options) -> DataFrame:
+    """One scan over Parquet files or globs, with the file and row position unless that is not wanted."""
     df = spark.read.options(**options).parquet(*paths)
-    if with_order:
-        df = df.select("*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW))
-    return df
+    return with_position(df) if with_order else df
+
+
+def groups_of_one_layout(spark: SparkSession, paths: list[str]) -> list[list[str]]:
+    """The files behind paths and globs in groups whose column types agree.
+
+    Files that disagree are split in half until they do not, in the order of their names, so months that changed a type
+    once give a few groups however many there are.
+    """
+
+    def split(files: list[str]) -> list[list[str]]:
+        try:
+            spark.read.option("mergeSchema", "true").parquet(*files).schema
+            return [files]
+        except Exception as e:
+            if len(files) == 1 or "MERGE_SCHEMA" not in str(e).upper() and "MERGING SCHEMA" not in str(e).upper():
+                raise
+        middle = len(files) // 2
+        return split(files[:middle]) + split(files[middle:])
+
+    files = sorted(spark.read.parquet(*paths).inputFiles())
+    return split(files) if files else []
 
 
 def read_consolidated(
-    spark: SparkSession, layouts: list[list[str]], schema: T.StructType, with_order: bool = False
+    spark: SparkSession, layouts: list[list[str]], schema: T.StructType, with_order: bool = True
 ) -> DataFrame:
     """Files of several layouts as one typed table.
 
-    Each entry of ``layouts`` is a list of paths or globs that share column types; columns may
-    differ file by file within it (their footers are merged by Spark). The number of scans is
-    the number of layouts, not of files.
+    Each entry of ``layouts`` is a list of paths or globs. Columns and their types may differ file by file; the number
+    of scans is the number of layouts, not of files.
     """
-    frames = [read_files(spark, paths, with_order, mergeSchema="true") for paths in layouts if paths]
-    return union_layouts(spark, frames, schema)
+    groups = [g for paths in layouts if paths for g in groups_of_one_layout(spark, paths)]
+    return union_layouts(spark, [read_files(spark, g, with_order, mergeSchema="true") for g in groups], schema)
 
 
 def read_registry_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ";") -> DataFrame:
@@ -64,18 +97,20 @@ def read_registry_json(spark: SparkSession, path: str, schema: T.StructType, wra
 
 
 def json_wrapper(spark: SparkSession, path: str) -> str | None:
-    """Key that wraps the records of a JSON registry, or None for a bare list."""
-    fields = spark.read.json(path, multiLine=True).schema.fields
-    if not fields:
+    """First key of a JSON registry, which wraps its records, or None for a bare list.
+
+    Only the beginning of the text is looked at; further keys may follow the list.
+    """
+    head = spark.read.text(path, wholetext=True).select(F.substring("value", 1, 65536)).first()
+    text = (head[0] if head else "").lstrip("\ufeff \t\r\n")
+    if text.startswith("["):
         return None
-    first = fields[0]
-    if isinstance(first.dataType, T.ArrayType):
-        if not isinstance(first.dataType.elementType, T.StructType):
-            raise ValueError(f"{path}: key {first.name!r} holds no list of records")
-        return first.name
-    if len(fields) == 1:
-        raise ValueError(f"{path}: key {first.name!r} holds no list")
-    return None
+    first = re.match(r'\{\s*"((?:[^"\\]|\\.)*)"\s*:\s*(\[\s*[{\]])?', text)
+    if not first:
+        raise ValueError(f"{path}: neither a list nor an object")
+    if not first[2]:
+        raise ValueError(f"{path}: key {first[1]!r} holds no list of records")
+    return json.loads(f'"{first[1]}"')
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
@@ -98,12 +133,18 @@ def read_inputs(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFra
     return tables
 
 
-def write_with_region(df: DataFrame, path: str, in_region: Column, region_path: str) -> None:
-    """The landed rows as they are, and a copy of the region's rows."""
+def write_with_region(df: DataFrame, path: str, in_region: Column, region_path: str) -> tuple[int, int]:
+    """The landed rows as they are, and a copy of the region's rows; returns how many of each.
+
+    The copy is made from the files just written, so the input is computed once.
+    """
+    spark = df.sparkSession
     df.write.mode("overwrite").option("compression", "snappy").parquet(path)
-    df.filter(in_region).write.mode("overwrite").option("compression", "snappy").parquet(region_path)
+    landed = spark.read.schema(df.schema).parquet(path)
+    landed.filter(in_region).write.mode("overwrite").option("compression", "snappy").parquet(region_path)
+    return landed.count(), spark.read.schema(df.schema).parquet(region_path).count()
 
 
-def write_rejects(rejects: DataFrame, path: str, table: str, column: str) -> None:
-    """Rejected rows as CSV, one directory per table and column."""
-    rejects.write.mode("overwrite").csv(f"{path}/{table}/{column}", header=True)
+def write_rejects(rejects: DataFrame, path: str, run: str, table: str, column: str) -> None:
+    """Rejected rows of one load as CSV, in a folder of its own, by the column that rejects them."""
+    rejects.write.mode("overwrite").partitionBy(column).csv(f"{path}/{table}/run={run}", header=True)
