@@ -35,11 +35,11 @@ def _beds_admissions(spark, d):
 
 
 def _spread(df):
-    return p.grouped_distribution(df, "facility_id", DAYS, "claim_id", [0.5, 0.75, 0.9])
+    return p.grouped_distribution(df, "facility_id", DAYS, "claim_id", [0.5, 0.75, 0.9], few_values=True)
 
 
 def _facility_profile(df):
-    return p.grouped_distribution(df, "facility_id", DAYS, "claim_id", [0.5]).withColumnsRenamed(
+    return p.grouped_distribution(df, "facility_id", DAYS, "claim_id", [0.5], few_values=True).withColumnsRenamed(
         {"distinct_count": "admissions", "sum_v": "reported_days", "mean": "mean_days", "p50": "median_days"}
     )
 
@@ -56,8 +56,7 @@ def _shares(spark, d):
     claims = tb.admissions(spark, d)
     return p.union_all(
         [
-            p.category_share(claims, "sex"),
-            p.category_share(claims, "died"),
+            p.category_share(claims, "sex", "died"),
             p.category_share(tb.table(spark, d, "events"), "event_type"),
         ]
     )
@@ -77,17 +76,12 @@ def _ranges(spark, d):
     )
 
 
-CLAIM_COLUMNS = [
-    "facility_id",
-    "claim_id",
-    "specialty",
-    "claim_kind",
-    "admit_date",
-    "discharge_date",
-    "billed_days",
-    "reported_days",
-    "sex",
-]
+# Every column of the claims, and the types they have.
+CLAIM_COLUMNS = {
+    "facility_id": "string", "claim_id": "string", "specialty": "string", "claim_kind": "string", "admit_date": "date",
+    "discharge_date": "date", "billed_days": "int", "reported_days": "int", "seq": "string", "l_partkey": "bigint", "age": "int",
+    "sex": "string", "died": "string", "period": "string", "rebill": "int",
+}
 
 
 def _nulls(spark, d):
@@ -124,8 +118,15 @@ def _shapes(spark, d):
     )
 
 
+def _describe_claims(df):
+    computed = df.withColumn("computed_days", p.computed_days("admit_date", "discharge_date"))
+    return p.describe(computed, ["age", "billed_days", DAYS, "computed_days"], few_values=True)
+
+
 QUERIES = {
-    "numeric_describe": _claims(lambda df: p.describe(df, ["age", "billed_days", DAYS])),
+    "numeric_describe": _claims(_describe_claims),
+    "amount_describe": lambda spark, d: p.describe(tb.table(spark, d, "orders"), ["o_totalprice"]),
+    "key_describe": lambda spark, d: p.describe(tb.table(spark, d, "orders"), ["o_orderkey"]),
     "central_tendency": _claims(lambda df: p.central_tendency(df, DAYS)),
     "stay_boxplot": _claims(lambda df: p.box_plot(df, DAYS)),
     "stay_boxplot_p99": _claims(lambda df: p.box_plot(df, DAYS, cut=0.99)),
@@ -160,20 +161,12 @@ QUERIES = {
     "stay_difference_histogram": _claims(
         lambda df: p.stay_difference_histogram(df, "admit_date", "discharge_date", DAYS)
     ),
-    "beds_by_facility": _registry(
-        lambda df: p.top(
-            p.bed_sums(df, ["facility_id", "facility_name"]),
-            20,
-            F.desc("beds_public"),
-            F.asc("facility_id"),
-            F.asc("facility_name"),
-        )
-    ),
+    "beds_by_facility": _registry(lambda df: p.bed_sums(df, ["facility_id", "facility_name"])),
     "beds_by_period": _registry(lambda df: p.bed_sums(df, ["period"], "facility_id")),
     "beds_by_type": _beds(lambda df: p.bed_sums(df, ["bed_type"], "facility_id")),
     "beds_by_type_period": _beds(lambda df: p.bed_sums(df, ["period", "bed_type"])),
     "bed_totals": _registry(p.bed_totals),
-    "top_types_trend": _beds(lambda df: p.top_types_trend(df, 2)),
+    "top_types_trend": _beds(lambda df: p.top_types_trend(df.withColumn("bed_type", F.concat("bed_type", F.lit("/"), F.substring("facility_id", 7, 1))), 10)),
     "source_reconciliation": _compared,
     "difference_describe": lambda spark, d: p.describe(_compared(spark, d), ["difference"]),
     "top_abs_difference": lambda spark, d: r.top_differences(_compared(spark, d)),
@@ -189,14 +182,14 @@ def _quantile(column: str, prob: float) -> str:
     return rounded(f"quantile_cont({column}, {prob})", 4)
 
 
-def _describe(table: str, columns: list[str]) -> str:
+def _describe(table: str, columns: list[str], kind: str = "BIGINT") -> str:
     parts = []
     for c in columns:
         quantiles = ", ".join(f"{_quantile(c, q)} AS p{round(q * 100):02d}" for q in p.PERCENTS)
         parts.append(
             f"SELECT '{c}' AS column_name, COUNT({c}) AS value_count, {rounded(f'AVG({c})', 4)} AS mean, "
-            f"{rounded(f'stddev_samp({c})', 4)} AS std, CAST(min({c}) AS BIGINT) AS min, {quantiles}, "
-            f"CAST(max({c}) AS BIGINT) AS max FROM {table}"
+            f"{rounded(f'stddev_samp({c})', 4)} AS std, CAST(min({c}) AS {kind}) AS min, {quantiles}, "
+            f"CAST(max({c}) AS {kind}) AS max FROM {table}"
         )
     return " UNION ALL ".join(parts)
 
@@ -290,7 +283,11 @@ SELECT period, facility_id, beds_public, admissions, reported_days, beds_public
 FROM joined"""
 
 ORACLES = {
-    "numeric_describe": CORE + _describe("admission", ["age", "billed_days", "reported_days"]),
+    "numeric_describe": CORE
+    + ", described AS (SELECT *, CAST(discharge_date - admit_date AS INTEGER) AS computed_days FROM admission) "
+    + _describe("described", ["age", "billed_days", "reported_days", "computed_days"]),
+    "amount_describe": _describe("orders", ["o_totalprice"], "DOUBLE"),
+    "key_describe": _describe("orders", ["o_orderkey"]),
     "central_tendency": CORE
     + f"""
 SELECT {rounded('AVG(reported_days)', 4)} AS mean, {_quantile('reported_days', 0.5)} AS median,
@@ -346,7 +343,7 @@ FROM admission GROUP BY ALL""",
         [
             _null_rows(
                 "admission",
-                [(c, "date" if "date" in c else "int" if c.endswith("days") else "string") for c in CLAIM_COLUMNS],
+                list(CLAIM_COLUMNS.items()),
             ),
             _null_rows(
                 "facility",
@@ -386,7 +383,7 @@ FROM admission WHERE reported_days - (discharge_date - admit_date) IS NOT NULL G
     "beds_by_facility": CORE
     + f"""
 SELECT facility_id, facility_name, {BED_SUMS} FROM facility WHERE facility_name IS NOT NULL
-GROUP BY facility_id, facility_name ORDER BY SUM(beds_public) DESC, facility_id, facility_name LIMIT 20""",
+GROUP BY facility_id, facility_name""",
     "beds_by_period": CORE
     + f"SELECT period, COUNT(DISTINCT facility_id) AS facilities, {BED_SUMS} FROM facility GROUP BY period",
     "beds_by_type": CORE
@@ -395,8 +392,9 @@ GROUP BY facility_id, facility_name ORDER BY SUM(beds_public) DESC, facility_id,
     "bed_totals": CORE + f"SELECT {BED_SUMS} FROM facility",
     "top_types_trend": CORE
     + f"""
-SELECT period, bed_type, {BED_SUMS} FROM bed
-WHERE bed_type IN (SELECT bed_type FROM bed GROUP BY bed_type ORDER BY SUM(beds_public) DESC, bed_type LIMIT 2)
+FROM (SELECT * REPLACE (bed_type || '/' || substr(facility_id, 7, 1) AS bed_type) FROM bed)
+SELECT period, bed_type, {BED_SUMS}
+WHERE bed_type IN (SELECT bed_type || '/' || substr(facility_id, 7, 1) AS kind FROM bed GROUP BY kind ORDER BY SUM(beds_public) DESC, kind LIMIT 10)
 GROUP BY period, bed_type""",
     "source_reconciliation": CORE + COMPARED + "SELECT * FROM compared",
     "difference_describe": CORE + COMPARED + _describe("compared", ["difference"]),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from wardflow.functions.numbers import clipped, deviation, ratio, rounded, total
 
@@ -23,16 +23,15 @@ def group_counts(df: DataFrame, key: str) -> DataFrame:
     return df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("row_count")).orderBy(key)
 
 
-def category_share(df: DataFrame, column: str) -> DataFrame:
-    """Rows and percentage per value, missing values included."""
-    rows = df.agg(F.count("*")).scalar()
-    return (
-        df.groupBy(F.col(column).alias("category"))
-        .agg(F.count("*").alias("row_count"))
-        .select(
-            F.lit(column).alias("column_name"), "category", "row_count", rounded(ratio("row_count", rows, 100), 4).alias("pct")
-        )
-    )
+def category_share(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows and percentage per value of each column, missing values included, from one pass over the table.
+
+    The totals come from the counted groups, in a window over the values of one column.
+    """
+    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("category")) for c in columns]
+    counts = df.select(F.inline(F.array(*pairs))).groupBy("column_name", "category").agg(F.count("*").alias("row_count"))
+    rows = F.sum("row_count").over(Window.partitionBy("column_name"))
+    return counts.withColumn("pct", rounded(ratio("row_count", rows, 100), 4))
 
 
 def distinct_share(df: DataFrame, key: str, counted: str) -> DataFrame:
@@ -127,16 +126,31 @@ def value_range(df: DataFrame, name: str, columns: list[str]) -> DataFrame:
 
 # --- distributions --------------------------------------------------------------------------
 #
-# Whole-number columns (days, ages, beds) repeat few values over many rows. All distributions
-# therefore start from one row per value: the count collapses before the shuffle, hot groups
-# included, and exact percentiles then see values with weights instead of rows.
+# Distributions start from one row per value and its count, which collapses before the shuffle where values repeat, hot
+# groups included. Exact percentiles are found by rank: values are cut into ranges by a sketch of fixed size, the counts
+# of the ranges are added up, and only then are the values of one range numbered. So no task holds all values. For
+# columns known to have few distinct values, such as days or ages, ``few_values`` does that in a single buffer.
+
+RANGES = 64
+
+
+def _is_whole(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, T.IntegralType)
+
+
+def _is_narrow(df: DataFrame, column: str) -> bool:
+    """Whole numbers whose squares stay exact in sums over any number of rows."""
+    return isinstance(df.schema[column].dataType, (T.ByteType, T.ShortType, T.IntegerType))
+
+
+def _number(df: DataFrame, column: str) -> Column:
+    """The value as it is counted: whole numbers as long, all others as double, never cut off."""
+    return F.col(column).cast("long" if _is_whole(df, column) else "double")
 
 
 def value_counts(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
     return (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast("long").alias("v"))
-        .agg(F.count("*").alias("n"))
+        df.filter(F.col(value).isNotNull()).groupBy(*keys, _number(df, value).alias("v")).agg(F.count("*").alias("n"))
     )
 
 
@@ -145,6 +159,42 @@ def weighted_percentiles(probs) -> Column:
     return F.percentile("v", F.array(*[F.lit(float(p)) for p in probs]), F.col("n"))
 
 
+def ranked_percentiles(counts: DataFrame, keys: list[str], probs) -> DataFrame:
+    """``keys`` and ``p``, the interpolated percentiles of ``v`` with weight ``n``, found by rank."""
+    cuts = F.approx_percentile("v", F.array(*[F.lit(k / RANGES) for k in range(1, RANGES)])).alias("cuts")
+    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+    on = reduce(lambda x, y: x & y, same, F.lit(True))
+    marks = counts.groupBy(*keys).agg(cuts, F.sum("n").alias("total"))
+    ranged = counts.alias("a").join(marks.alias("b"), on).select(
+        *[f"a.{k}" for k in keys], "v", "n", "total", F.size(F.filter("cuts", lambda c: c < F.col("v"))).alias("range")
+    )
+    before = Window.partitionBy(*keys).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy(*keys, "range").agg(F.sum("n").alias("m")).select(
+        *keys, "range", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("start")
+    )
+    placed = ranged.alias("a").join(starts.alias("b"), on & (F.col("a.range") == F.col("b.range")))
+    placed = placed.select(*[f"a.{k}" for k in keys], "a.range", "v", "n", "total", "start")
+    upto = F.col("start") + F.sum("n").over(Window.partitionBy(*keys, "range").orderBy("v"))
+    numbered = placed.withColumn("upto", upto).withColumn("first", F.col("upto") - F.col("n"))
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("first") <= rank) & (rank < F.col("upto")), F.col("v").cast("double")))
+
+    ends, made = [], []
+    for k, q in enumerate(probs):
+        place = F.col("total").cast("double") - 1
+        place = place * float(q)
+        ends += [at(F.floor(place)).alias(f"lo{k}"), at(F.ceil(place)).alias(f"hi{k}"), F.max(place - F.floor(place)).alias(f"w{k}")]
+        made.append(F.col(f"lo{k}") + (F.col(f"hi{k}") - F.col(f"lo{k}")) * F.col(f"w{k}"))
+    return numbered.groupBy(*keys).agg(*ends).select(*keys, F.array(*made).alias("p"))
+
+
+def percentiles_of(counts: DataFrame, keys: list[str], probs, few_values: bool) -> DataFrame:
+    if few_values:
+        return counts.groupBy(*keys).agg(weighted_percentiles(probs).alias("p"))
+    return ranked_percentiles(counts, keys, probs)
+
+
 def _moments() -> list[Column]:
     v = F.col("v").cast("decimal(10,0)")
     return [
@@ -156,76 +206,91 @@ def _moments() -> list[Column]:
     ]
 
 
-def describe(df: DataFrame, columns: list[str], probs=PERCENTS, approximate: bool = False) -> DataFrame:
-    """Count, mean, sample deviation, extremes and percentiles of each column, in one pass.
+def _described(moments: DataFrame, percentiles: DataFrame, mean: Column, std: Column, probs) -> DataFrame:
+    return moments.join(percentiles, "column_name", "left").select(
+        "column_name",
+        F.col("n_values").alias("value_count"),
+        rounded(mean, 4).alias("mean"),
+        rounded(std, 4).alias("std"),
+        F.col("min_v").alias("min"),
+        *[rounded(F.col("p")[i], 4).alias(f"p{round(p * 100):02d}") for i, p in enumerate(probs)],
+        F.col("max_v").alias("max"),
+    )
+
+
+def describe(
+    df: DataFrame, columns: list[str], probs=PERCENTS, approximate: bool = False, few_values: bool = False
+) -> DataFrame:
+    """Count, mean, sample deviation, extremes and percentiles of each column.
 
-    ``approximate`` replaces the exact percentiles by sketches of fixed size, for columns with an
-    unbounded number of distinct values.
+    Extremes are whole numbers if all columns are. ``approximate`` replaces the exact percentiles by sketches of fixed
+    size; ``few_values`` is for columns with few distinct values.
     """
-    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("long").alias("v")) for c in columns]
-    long = df.select(F.inline(F.array(*pairs)))
+    narrow = all(_is_narrow(df, c) for c in columns)
+    kind = "long" if all(_is_whole(df, c) for c in columns) else "double"
+    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast(kind).alias("v")) for c in columns]
+    long = df.select(F.inline(F.array(*pairs))).filter(F.col("v").isNotNull())
+    counts = long.groupBy("column_name", "v").agg(F.count("*").alias("n"))
     if approximate:
-        rows = long.filter(F.col("v").isNotNull()).withColumn("n", F.lit(1).cast("long"))
-        percentiles = F.approx_percentile("v", F.array(*[F.lit(float(p)) for p in probs]))
+        sketch = F.approx_percentile("v", F.array(*[F.lit(float(p)) for p in probs]))
+        percentiles = long.groupBy("column_name").agg(sketch.alias("p"))
     else:
-        rows = value_counts(long, "v", ["column_name"])
-        percentiles = weighted_percentiles(probs)
-    return (
-        rows.groupBy("column_name")
-        .agg(*_moments(), percentiles.alias("p"))
-        .select(
-            "column_name",
-            F.col("n_values").alias("value_count"),
-            rounded(ratio("sum_v", "n_values"), 4).alias("mean"),
-            rounded(deviation("n_values", "sum_v", "squares", sample=True), 4).alias("std"),
-            F.col("min_v").alias("min"),
-            *[rounded(F.col("p")[i], 4).alias(f"p{round(p * 100):02d}") for i, p in enumerate(probs)],
-            F.col("max_v").alias("max"),
-        )
+        percentiles = percentiles_of(counts, ["column_name"], probs, few_values)
+    if narrow:
+        moments = counts.groupBy("column_name").agg(*_moments())
+        std = deviation("n_values", "sum_v", "squares", sample=True)
+        return _described(moments, percentiles, ratio("sum_v", "n_values"), std, probs)
+    v = F.col("v").cast("double")
+    moments = long.groupBy("column_name").agg(
+        F.count("v").alias("n_values"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min("v").alias("min_v"), F.max("v").alias("max_v")
     )
+    return _described(moments, percentiles, F.col("mean"), F.col("std"), probs)
 
 
-def central_tendency(df: DataFrame, column: str) -> DataFrame:
+def central_tendency(df: DataFrame, column: str, few_values: bool = False) -> DataFrame:
     """Mean, median, smallest mode, sample deviation and coefficient of variation."""
-    sd = deviation("n_values", "sum_v", "squares", sample=True)
-    mean = ratio("sum_v", "n_values")
-    return (
-        value_counts(df, column, [])
-        .agg(
-            *_moments(),
-            weighted_percentiles([0.5]).alias("p"),
-            F.min(F.struct((-F.col("n")).alias("rank"), F.col("v"))).alias("top"),
-        )
-        .select(
-            rounded(mean, 4).alias("mean"),
-            rounded(F.col("p")[0], 4).alias("median"),
-            F.col("top.v").alias("mode"),
-            rounded(sd, 4).alias("std"),
-            rounded(ratio(sd, F.nullif(mean, F.lit(0.0)), 100), 4).alias("variation_pct"),
-        )
+    counts = value_counts(df, column, [])
+    top = F.min(F.struct((-F.col("n")).alias("rank"), F.col("v"))).alias("top")
+    if _is_narrow(df, column):
+        measures = counts.agg(*_moments(), top)
+        mean, sd = ratio("sum_v", "n_values"), deviation("n_values", "sum_v", "squares", sample=True)
+    else:
+        v = F.col(column).cast("double")
+        measures = df.agg(F.avg(v).alias("mean_v"), F.stddev_samp(v).alias("std_v")).join(counts.agg(top))
+        mean, sd = F.col("mean_v"), F.col("std_v")
+    median = percentiles_of(counts, [], [0.5], few_values)
+    return measures.join(median).select(
+        rounded(mean, 4).alias("mean"),
+        rounded(F.col("p")[0], 4).alias("median"),
+        F.col("top.v").alias("mode"),
+        rounded(sd, 4).alias("std"),
+        rounded(ratio(sd, F.nullif(mean, F.lit(0.0)), 100), 4).alias("variation_pct"),
     )
 
 
-def grouped_distribution(df: DataFrame, key: str, value: str, counted: str, probs) -> DataFrame:
+def grouped_distribution(
+    df: DataFrame, key: str, value: str, counted: str, probs, few_values: bool = False
+) -> DataFrame:
     """Per group: distinct ``counted``, rows, sum, mean and percentiles of ``value``.
 
     Distinct counting and percentiles need different shuffles; each side comes out with one row
     per group and they are joined on it.
     """
     keyed = df.filter(F.col(key).isNotNull())
-    counts = keyed.groupBy(key).agg(F.count_distinct(counted).alias("distinct_count"))
-    spread = (
-        keyed.groupBy(key, F.col(value).cast("long").alias("v"))
-        .agg(F.count("*").alias("n"))
-        .groupBy(key)
-        .agg(
-            F.sum("n").alias("row_count"),
-            total(F.col("v") * F.col("n")).alias("sum_v"),
-            F.sum(F.when(F.col("v").isNotNull(), F.col("n"))).alias("n_values"),
-            weighted_percentiles(probs).alias("p"),
-        )
-    )
-    return counts.join(spread, key).select(
+    distinct = keyed.groupBy(key).agg(F.count_distinct(counted).alias("distinct_count"))
+    counts = keyed.groupBy(key, _number(df, value).alias("v")).agg(F.count("*").alias("n"))
+    known = F.when(F.col("v").isNotNull(), F.col("n"))
+    sums = [
+        F.sum("n").alias("row_count"),
+        total(F.col("v") * F.col("n")).alias("sum_v") if _is_whole(df, value) else F.coalesce(F.sum(F.col("v") * F.col("n")), F.lit(0.0)).alias("sum_v"),
+        F.sum(known).alias("n_values"),
+    ]
+    if few_values:
+        spread = counts.groupBy(key).agg(*sums, weighted_percentiles(probs).alias("p"))
+    else:
+        ranks = ranked_percentiles(counts.filter(F.col("v").isNotNull()), [key], probs)
+        spread = counts.groupBy(key).agg(*sums).join(ranks, key, "left")
+    return distinct.join(spread, key).select(
         key,
         "distinct_count",
         "row_count",
@@ -265,15 +330,17 @@ def histogram(df: DataFrame, column: str, bins: int, upper: int | None = None) -
     )
 
 
-def box_plot(df: DataFrame, column: str, cut: float | None = None, reach: float = 1.5) -> DataFrame:
+def box_plot(
+    df: DataFrame, column: str, cut: float | None = None, reach: float = 1.5, few_values: bool = False
+) -> DataFrame:
     """Quartiles, whiskers (furthest value within ``reach`` IQR) and outliers.
 
     ``cut`` first drops the values above that percentile.
     """
     counts = value_counts(df, column, [])
     if cut is not None:
-        counts = counts.filter(F.col("v") <= counts.agg(weighted_percentiles([cut])[0]).scalar())
-    quartiles = counts.agg(weighted_percentiles([0.25, 0.5, 0.75])).scalar()
+        counts = counts.filter(F.col("v") <= percentiles_of(counts, [], [cut], few_values).select(F.col("p")[0]).scalar())
+    quartiles = percentiles_of(counts, [], [0.25, 0.5, 0.75], few_values).scalar()
     q1, q3 = quartiles[0], quartiles[2]
     low, high = q1 - reach * (q3 - q1), q3 + reach * (q3 - q1)
     inside = F.col("v").between(low, high)
