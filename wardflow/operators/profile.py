@@ -165,9 +165,13 @@ def ranked_percentiles(counts: DataFrame, keys: list[str], probs) -> DataFrame:
     same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
     on = reduce(lambda x, y: x & y, same, F.lit(True))
     marks = counts.groupBy(*keys).agg(cuts, F.sum("n").alias("total"))
-    ranged = counts.alias("a").join(marks.alias("b"), on).select(
-        *[f"a.{k}" for k in keys], "v", "n", "total", F.size(F.filter("cuts", lambda c: c < F.col("v"))).alias("range")
-    )
+    if keys:
+        marked = counts.alias("a").join(marks.alias("b"), on).select(*[f"a.{k}" for k in keys], "v", "n", "total", "cuts")
+    else:
+        whole = marks.select(F.struct("total", "cuts")).scalar()
+        marked = counts.select("v", "n", whole["total"].alias("total"), whole["cuts"].alias("cuts"))
+    below = F.size(F.filter("cuts", lambda c: c < F.col("v")))
+    ranged = marked.select(*keys, "v", "n", "total", below.alias("range"))
     before = Window.partitionBy(*keys).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     starts = ranged.groupBy(*keys, "range").agg(F.sum("n").alias("m")).select(
         *keys, "range", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("start")
@@ -256,12 +260,13 @@ def central_tendency(df: DataFrame, column: str, few_values: bool = False) -> Da
         mean, sd = ratio("sum_v", "n_values"), deviation("n_values", "sum_v", "squares", sample=True)
     else:
         v = F.col(column).cast("double")
-        measures = df.agg(F.avg(v).alias("mean_v"), F.stddev_samp(v).alias("std_v")).join(counts.agg(top))
+        ends = counts.agg(top).scalar()
+        measures = df.agg(F.avg(v).alias("mean_v"), F.stddev_samp(v).alias("std_v")).withColumn("top", ends)
         mean, sd = F.col("mean_v"), F.col("std_v")
-    median = percentiles_of(counts, [], [0.5], few_values)
-    return measures.join(median).select(
+    median = percentiles_of(counts, [], [0.5], few_values).select(F.col("p")[0]).scalar()
+    return measures.select(
         rounded(mean, 4).alias("mean"),
-        rounded(F.col("p")[0], 4).alias("median"),
+        rounded(median, 4).alias("median"),
         F.col("top.v").alias("mode"),
         rounded(sd, 4).alias("std"),
         rounded(ratio(sd, F.nullif(mean, F.lit(0.0)), 100), 4).alias("variation_pct"),

@@ -67,19 +67,24 @@ def typed(raw: DataFrame, spec: TableSpec, carry: list[str] | None = None) -> Da
     evaluated once per mention of its result.
     """
     types = dict(raw.dtypes)
-
-    def first(f):
-        if f.kind == "date":
-            return F.col(f.source) if types[f.source] == "date" else tx.day(f.source, "yyyy-MM-dd")
-        return tx.text(f.source)
-
+    dates = [f for f in spec.fields_of("date")]
+    texts = [f for f in spec.fields if f.kind != "date"]
+
+    def date(f):
+        return F.col(f.source) if types[f.source] == "date" else tx.day(f.source, "yyyy-MM-dd")
+
+    # One expression trims all texts: the same few steps per value, instead of generated code that grows with the columns
+    # until the JVM no longer compiles it.
+    trimmed = F.transform(F.array(*[F.col(f.source).cast("string") for f in texts]), tx.text).alias("_texts")
+    rows = raw.select(trimmed, *[date(f).alias(f.name) for f in dates], *(carry or []))
+    at = {f.name: F.col("_texts")[k] for k, f in enumerate(texts)}
+    rows = rows.select(*[at.get(f.name, F.col(f.name)).alias(f.name) for f in spec.fields], *(carry or []))
     steps = {
         "code": {f.name: tx.without_fraction(f.name) for f in spec.fields_of("code")},
         "width": {f.name: tx.zero_fill(f.name, f.width) for f in spec.fields if f.width},
         "period": {f.name: tx.digits(f.name) for f in spec.fields_of("period")},
         "integer": {f.name: tx.whole(f.name) for f in spec.fields_of("integer")},
     }
-    rows = raw.select(*[first(f).alias(f.name) for f in spec.fields], *(carry or []))
     for step in steps.values():
         rows = rows.withColumns(step)
     return rows
