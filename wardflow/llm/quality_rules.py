@@ -168,17 +168,17 @@ def judged(
         F.max("group_rows").alias("group_rows"), *[F.max(F.when(F.col("rule") == r, F.struct("low", "high"))).alias(r) for r in RULES]
     )
     wide = checkpointed(wide.filter((F.col("level") == 2) | (F.col("group_rows") >= least_group)))
-    fine, lang, every = (wide.filter(F.col("level") == k).alias(f"l{k}") for k in range(3))
+    fine, lang = (wide.filter(F.col("level") == k).alias(f"l{k}") for k in range(2))
+    every = wide.filter(F.col("level") == 2).select(F.struct("level", *RULES)).scalar()
     joined = (
         base.alias("d")
         .join(fine, F.col("d.lang").eqNullSafe(F.col("l0.lang")) & F.col("d.source").eqNullSafe(F.col("l0.source")), "left")
         .join(lang, F.col("d.lang").eqNullSafe(F.col("l1.lang")), "left")
-        .join(F.broadcast(every), F.lit(True), "left")  # one row
     )
-    level = F.coalesce("l0.level", "l1.level", "l2.level")
+    level = F.coalesce("l0.level", "l1.level", every["level"])
 
     def fails(rule: str) -> Column:
-        fence, v = F.coalesce(*[F.col(f"l{k}.{rule}") for k in range(3)]), value[rule]
+        fence, v = F.coalesce(f"l0.{rule}", f"l1.{rule}", every[rule]), value[rule]
         return F.coalesce((v < fence["low"]) | (v > fence["high"]), v > fence["high"], F.lit(False))
 
     failed = F.concat_ws(",", *[F.when(fails(r), F.lit(r)) for r in RULES])
