@@ -93,7 +93,77 @@ QUERIES = {
     "op10_mix_wfq": op10_mix_wfq,
 }
 
+def _quality_sql() -> str:
+    """The measures, sketches, fences and verdicts of op1 over whole texts."""
+    values = {
+        "symbols": "1000 * n_symbols // n_words",
+        "upper": "1000 * n_upper // greatest(word_chars, 1)",
+        "marks": "1000 * n_marks // n_words",
+        "word_length": "100 * word_chars // n_words",
+        "repeated": "1000 * n_repeat_words // n_words",
+        "dup_lines": "1000 * n_dup_lines // greatest(n_lines, 1)",
+    }
+    rules = quality_rules.RULES
+    limits = ", ".join(f"('{r}', {rules[r][1]}, {rules[r][2]}, {str(rules[r][3]).upper()})" for r in values)
+    pairs = ", ".join(f"{{'rule': '{r}', 'v': {v}}}" for r, v in values.items())
+    verdicts = ", ".join(
+        f"max(CASE WHEN rule = '{r}' AND (v < low OR v > high) THEN '{r}' END)" for r in values
+    )
+    measures = ", ".join(quality_rules.MEASURES)
+    word = r"[^\x20\x09-\x0D]+"
+    return rf"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
+words AS (
+  SELECT r, unnest(w) AS w, generate_subscripts(w, 1) AS pos FROM (SELECT r, regexp_extract_all(text, '{word}') AS w FROM docs)),
+windows AS (
+  SELECT r, pos, w || ' ' || lead(w, 1) OVER o || ' ' || lead(w, 2) OVER o || ' ' || lead(w, 3) OVER o || ' ' || lead(w, 4) OVER o AS g
+  FROM words WINDOW o AS (PARTITION BY r ORDER BY pos)),
+again AS (
+  SELECT r, COUNT(DISTINCT p) AS n FROM (
+    SELECT r, unnest(range(pos, pos + 5)) AS p
+    FROM (SELECT r, pos, COUNT(*) OVER (PARTITION BY r, g) AS c FROM windows WHERE g IS NOT NULL) WHERE c > 1)
+  GROUP BY r),
+lines AS (
+  SELECT r, COUNT(*) AS n, COUNT(*) - COUNT(DISTINCT line) AS dup
+  FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM docs) WHERE regexp_matches(line, '{word}') GROUP BY r),
+measured AS (
+  SELECT r, doc_id, lang, source, len(regexp_extract_all(text, '{word}')) AS n_words,
+         length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(lines.dup, 0) AS n_dup_lines,
+         coalesce(again.n, 0) AS n_repeat_words, coalesce(lines.n, 0) AS n_lines,
+         length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper, length(regexp_replace(text, '[^!?]', '', 'g')) AS n_marks
+  FROM docs LEFT JOIN again USING (r) LEFT JOIN lines USING (r)),
+base AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM measured),
+valued AS (SELECT r, lang, source, base_failed, p.rule AS rule, p.v AS v FROM (SELECT *, unnest([{pairs}]) AS p FROM base WHERE n_words > 0)),
+bucketed AS (
+  SELECT lang, source, rule, (v // scale) * scale AS bucket
+  FROM (SELECT *, (1::BIGINT << greatest(length(bin(v)) - 7, 0)::BIGINT) AS scale FROM valued WHERE NOT base_failed)),
+sketches AS (
+  SELECT 0 AS level, lang, source, rule, bucket FROM bucketed UNION ALL SELECT 1, lang, NULL, rule, bucket FROM bucketed
+  UNION ALL SELECT 2, NULL, NULL, rule, bucket FROM bucketed),
+quartiles AS (
+  SELECT level, lang, source, rule, COUNT(*) AS n, quantile_disc(bucket, 0.25) AS q1, quantile_disc(bucket, 0.75) AS q3
+  FROM sketches GROUP BY ALL HAVING level = 2 OR COUNT(*) >= {quality_rules.LEAST_GROUP}),
+fences AS (
+  SELECT level, lang, source, q.rule AS rule, CASE WHEN two_sided THEN q1 - k * greatest(q3 - q1, least_range) END AS low,
+         q3 + k * greatest(q3 - q1, least_range) AS high
+  FROM quartiles q JOIN (VALUES {limits}) l(rule, k, least_range, two_sided) ON l.rule = q.rule),
+chosen AS (
+  SELECT r, v.rule AS rule, v, arg_min(f.level, f.level) AS level,
+         arg_min({{'low': low, 'high': high}}, f.level) AS fence
+  FROM valued v LEFT JOIN fences f ON f.rule = v.rule AND (f.level = 2 OR f.lang IS NOT DISTINCT FROM v.lang AND
+       (f.level = 1 OR f.source IS NOT DISTINCT FROM v.source))
+  GROUP BY ALL),
+verdicts AS (
+  SELECT r, min(level) AS level, concat_ws(',', {verdicts}) AS failed
+  FROM (SELECT r, rule, v, level, fence.low AS low, fence.high AS high FROM chosen) GROUP BY r)
+SELECT doc_id, {measures}, base_failed, coalesce(failed, '') AS failed_rules, level AS threshold_level,
+       NOT base_failed AND coalesce(failed, '') = '' AS kept
+FROM base LEFT JOIN verdicts USING (r)"""
+
+
 ORACLES = {
+    "op1_quality_rules": _quality_sql(),
     "op7_exact_dedup": """
 WITH folded AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm FROM documents
