@@ -161,7 +161,7 @@ def test_own_flag_missing_counts_as_not_own(spark):
 
 
 def test_capacity_rows_survive_without_stays_and_names(spark):
-    got = capacity.occupancy_bands(house(spark, year_of_beds(3, 2)), SETTINGS).collect()
+    got = capacity.occupancy_bands(house(spark, year_of_beds(3, 2)), SETTINGS, ordered=True).collect()
     assert len(got) == 12 and {r.facility_name for r in got} == {"facility: 1"}
     assert [r.is_latest for r in got] == ["no"] * 11 + ["yes"]
 
