@@ -277,7 +277,9 @@ def _dedup_keep_last(spark, d):
     target = f"{_scratch(spark)}/landed"
     raw = tb.raw_beds(spark, d)
     for copy in (0, 1):
-        raw.filter(F.col("copy_no") == copy).write.parquet(f"{target}/part-{copy}")
+        # A key's rows lie in one file, the greatest last.
+        rows = raw.filter(F.col("copy_no") == copy).repartition(*RAW_KEY)
+        rows.sortWithinPartitions("bed_type", "beds_total", "beds_public", "payer_id").write.parquet(f"{target}/part-{copy}")
     rows = landed.read_files(spark, [f"{target}/part-0", f"{target}/part-1"])
     return dedup.keep_last(rows, RAW_KEY, [landed.FILE, landed.ROW]).drop(landed.FILE, landed.ROW)
 
