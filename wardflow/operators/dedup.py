@@ -15,9 +15,9 @@ def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
     best_first = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in (*order, *rest)])
-    # The number is compared after a sum, as a plain rank limit makes Spark sort full rows before the shuffle too.
-    ranked = df.withColumn("_rank", F.row_number().over(best_first))
-    return ranked.filter(F.col("_rank") + F.lit(0) == 1).select(*df.columns)
+    # A row without a better one before it: unlike a limit on ranks, it makes Spark sort only after the shuffle.
+    better = df.withColumn("_better", F.lag(F.lit(True)).over(best_first))
+    return better.filter(F.col("_better").isNull()).select(*df.columns)
 
 
 def keep_last_hot(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
