@@ -28,8 +28,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import pre_tokenizers
 
-#: Byte automaton states, and encoded words, that one worker keeps; beyond it starts afresh and results stay the same.
-KEPT_STATES, KEPT_WORDS = 200_000, 400_000
+#: Byte automaton states, and encoded words, that one worker keeps: about 150 MB. Beyond, it drops the states, and the words
+#: not met for long; results stay the same.
+KEPT_STATES, KEPT_WORDS = 160_000, 300_000
 #: Longer words are not kept.
 KEPT_LENGTH = 64
 #: Fixed pattern of the vocabulary that splits a text into words before merging.
@@ -64,8 +65,8 @@ class Automaton:
         for token in self._born:
             self._spell(token)
         self._split_added = regex.compile("(" + "|".join(map(regex.escape, self.added)) + ")") if self.added else None
-        self._table: list[dict[int, tuple[int, int]]] = []
         self._words: dict[str, bytes] = {}
+        self._older_words: dict[str, bytes] = {}
         self._start_over()
 
     def _gadget(self, time: int, a: int, b: int, ab: int) -> None:
@@ -113,17 +114,22 @@ class Automaton:
         self._token_at[node] = token
 
     def _start_over(self) -> None:
-        """Empties the tables that grow with the words met, but for the byte state that words begin in."""
-        first = ((self.start, 0),)
-        self._reads = {}
+        """Empties the tables that grow with the words met, but for the byte state that words begin in.
+
+        A state is numbered by its set of arcs under way, each the label before it and its place on the trie in one
+        number; the table leads from a state and a byte to the next state and the last token of the prefix, likewise.
+        """
+        first = (self.start << 32,)
+        self._reads: dict[int, bool] = {}
         self._states = {first: 0}
         self._under_way = [first]
-        self._table[:] = [{}]
+        self._table: dict[int, int] = {}
 
-    def _step(self, state: int, byte: int) -> tuple[int, int]:
-        """Makes the transition of a byte state: the next state and the last token of the prefix."""
+    def _step(self, state: int, byte: int) -> int:
+        """Makes the transition of a byte state."""
         going, last = [], -1
-        for before, node in self._under_way[state]:
+        for arc in self._under_way[state]:
+            before, node = arc >> 32, arc & 0xFFFFFFFF
             child = self._children[node].get(byte)
             if child is None:
                 continue
@@ -131,39 +137,44 @@ class Automaton:
             if token >= 0 and self.allows(before, token):
                 last = token
             if self._children[child]:
-                going.append((before, child))
+                going.append(before << 32 | child)
         if last < 0:
             raise ValueError("the vocabulary lacks a byte")
-        subset = (*going, (last, 0))
-        if len(self._table) >= KEPT_STATES:  # also within a word, which may be long
+        subset = (*going, last << 32)
+        full = len(self._under_way) >= KEPT_STATES  # also within a word, which may be long
+        if full:
             self._start_over()
-            state = None
         to = self._states.get(subset)
         if to is None:
-            to = self._states[subset] = len(self._table)
+            to = self._states[subset] = len(self._under_way)
             self._under_way.append(subset)
-            self._table.append({})
-        if state is not None:
-            self._table[state][byte] = (to, last)
-        return to, last
+        made = to << 32 | last
+        if not full:
+            self._table[state << 8 | byte] = made
+        return made
 
     def word(self, word: str) -> bytes:
         """Ids of a pre-split word as little-endian unsigned 32-bit integers."""
-        if len(self._words) >= KEPT_WORDS:
-            self._words.clear()
-        table, label, state, last = self._table, self.label, 0, []
-        raw = word.encode()
-        for b in raw:
-            state, token = table[state].get(b) or self._step(state, b)
-            last.append(token)
-        ids, at = [], len(raw)
-        while at:
-            token = last[at - 1]
-            ids.append(token)
-            at -= len(label[token])
-        ids.reverse()
-        found = struct.pack(f"<{len(ids)}I", *ids)
+        found = self._older_words.get(word)
+        if found is None:
+            label, state, last = self.label, 0, []
+            raw = word.encode()
+            for b in raw:
+                arc = self._table.get(state << 8 | b)
+                if arc is None:
+                    arc = self._step(state, b)
+                state = arc >> 32
+                last.append(arc & 0xFFFFFFFF)
+            ids, at = [], len(raw)
+            while at:
+                token = last[at - 1]
+                ids.append(token)
+                at -= len(label[token])
+            ids.reverse()
+            found = struct.pack(f"<{len(ids)}I", *ids)
         if len(word) <= KEPT_LENGTH:
+            if 2 * len(self._words) >= KEPT_WORDS:
+                self._older_words, self._words = self._words, {}
             self._words[word] = found
         return found
 
