@@ -59,6 +59,33 @@ def test_passage_within_lines_is_cut(table):
     assert text == "".join(original[a:b] for a, b in spans) and "PASSAGE" not in text and text.startswith("Other start.") and text.endswith("Other end.")
 
 
+def test_whole_lines_go_whatever_their_length(table):
+    rows = [
+        (1, "All rights reserved.\nRead on! Or not.\nBody one. Yes. No."),
+        (2, "All  Rights reserved.\nYes. No.\nread on! or not.\nBody two. All rights reserved."),
+        (3, "No. Yes."),
+        (4, "甲乙丙丁戊己庚辛壬癸" * 12 + "。\nx"),
+        (5, "Intro. " + "甲乙丙丁戊己庚辛壬癸" * 12 + "。\ny"),
+        (6, "Intro! " + "甲乙丙丁戊己庚辛壬癸" * 12 + "。\nz"),
+    ]
+    left = {r["doc_id"]: r["text"] for r in line_dedup.without_repeats(table(rows, clash=True)).collect()}
+    assert left[1] == rows[0][1] and left[4] == rows[3][1]
+    assert left[2].split() == "Yes. No. Body two. All rights reserved.".split()
+    assert left[3].strip() == "" and left[5].split() == ["Intro.", "y"] and left[6].split() == ["Intro!", "z"]
+
+
+def test_no_later_whole_line_is_left(spark, sf_dir):
+    seen = set()
+    docs = queries.documents(spark, sf_dir).select("doc_id", "text")
+    assert set(brute([tuple(r) for r in docs.collect()])) <= set(got(line_dedup.repeats(docs)))
+    for r in line_dedup.without_repeats(docs).orderBy("doc_id").collect():
+        text = r["text"] or ""
+        whole = [" ".join(line.lower().split()) for line in text.split("\n")]
+        lines = [x for x in whole if len(x.split()) >= 3 and x in seen]
+        assert not lines, (r["doc_id"], lines)
+        seen.update(whole)
+
+
 def test_edges(table):
     rows = [(1, None), (2, ""), (None, PASSAGE), (3, PASSAGE), (3, PASSAGE), (4, (PASSAGE + "\n") * 2000), (5, "short. " * 40)]
     docs = table(rows, clash=True).coalesce(1)
