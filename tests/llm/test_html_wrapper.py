@@ -71,6 +71,27 @@ def test_edges(pages):
     assert H.extracted(pages([])).count() == 0
 
 
+def test_classes_and_ids_of_content_keep_its_text():
+    for page, text in {
+        '<article><h2 id="social-policy">a</h2><section id="related-work">b</section><p id="notice">c</p><p class="share-price">d</p></article>': "a\n\nb\n\nc\n\nd",
+        '<article class="post comments-open"><p>t</p></article><div>x</div>': "t",
+        '<main class="with-sidebar"><p>t</p></main><div>longer than it</div>': "t",
+        '<div class="content-sidebar-wrap"><p>t t t t</p></div><div class="sidebar">x</div>': "t t t t",
+        '<article><pre class="alert">a</pre><table id="menu"><tr><td>b</table><blockquote class="comment">c</blockquote></article>': "a\n\nb\n\nc",
+        '<div class="notice"><p>all there is</p></div>': "all there is",
+        '<main><article class="post"><p>t</article><article class="comment"><p>a comment</article></main>': "t",
+        '<article><p>t<div class="related-posts">x</div><article class="comment">y</article></article>': "t",
+    }.items():
+        assert H.main_text(page, None) == text, page
+
+
+def test_marks_in_articles_need_the_hosts_pages(pages):
+    page = "<article><h1>T</h1><p>w {}</p>{}<div class='ad'>Buy</div></article>"
+    rows = [(k, "http://h/1", page.format(k, "<section id='notice'>kept</section>" if k == 7 else ""), "x", "x", "x") for k in range(12)]
+    found = {r["page_id"]: r["text"] for r in H.extracted(pages(rows)).collect()}
+    assert found[7] == "T\n\nw 7\n\nkept" and found[8] == "T\n\nw 8"
+
+
 def test_given_pages(spark, sf_dir):
     """All given pages have one article; its paragraphs by a plain split."""
     import html

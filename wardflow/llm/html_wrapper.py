@@ -41,7 +41,7 @@ BLOCKS = {
 #: Elements that the start of another of the group ends, and those beyond which none is looked for.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 BARRIERS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": {"select"}}
-#: Boilerplate by tag, by role and by a part of a class or id.
+#: Boilerplate by tag, by role and by a class or id.
 LEFT_OUT = {
     "nav", "footer", "aside", "form", "script", "style", "noscript", "template", "iframe", "object", "svg", "canvas",
     "button", "select", "textarea", "dialog", "menu", "title", "head", "audio", "video", "map", "xmp", "noembed", "noframes",
@@ -54,7 +54,20 @@ MARKS = {
     "pagination", "popup", "promo", "promoted", "related", "replies", "respond", "share", "sharing", "sidebar", "signup",
     "skip", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget",
 }
+#: Words that a class or id may have beside its marks and still name nothing else.
+FURNITURE = {
+    "area", "bar", "block", "body", "bottom", "box", "button", "buttons", "center", "container", "form", "group", "header",
+    "holder", "icons", "inline", "inner", "item", "items", "left", "link", "links", "list", "outer", "page", "panel",
+    "placeholder", "post", "posts", "right", "row", "section", "site", "slot", "top", "unit", "wrap", "wrapper",
+}
+#: Elements that a class or id can make boilerplate, and the mark of what is not displayed.
+CONTAINERS = {"div", "section", "ul", "ol", "dl", "article"}
+HIDDEN = "hidden"
+#: Pages of a host, and their share, that have to show a mark within the article before it counts there.
+MANY_PAGES, MANY_SHARE = 3, 0.05
 MAIN = {"article", "main"}
+#: Inside of a main element, or of an article.
+INSIDE = {"main": 1, "article": 2}
 #: Parts of a host whose tasks' wrappers are aligned first.
 PARTS = 32
 #: Items of a wrapper beyond which those met on the fewest pages are left out of it; pages lose nothing by that.
@@ -65,11 +78,12 @@ LONGEST_PERIOD = 6
 class Node:
     """An element of a page or of a wrapper: tag, name (with class and id), marks and content; "#" is a text slot."""
 
-    __slots__ = ("tag", "name", "left_out", "text", "content", "many", "optional", "pages", "chars", "linked")
+    __slots__ = ("tag", "name", "left_out", "text", "content", "many", "optional", "pages", "chars", "linked", "marks")
 
     def __init__(self, tag: str, name: str = "", left_out: bool = False, text: str = ""):
         self.tag, self.name, self.left_out, self.text = tag, name or tag, left_out, text
         self.content: list[Node] = []
+        self.marks: tuple[str, ...] = ()
         self.many = self.optional = False
         self.pages, self.chars, self.linked = 1, 0, 0
 
@@ -81,16 +95,25 @@ def attributes(raw: str) -> dict[str, str]:
     return found
 
 
+def is_mark(name: str) -> bool:
+    """Whether a class or id as a whole names boilerplate; one with any other word in it does not."""
+    words = {w.lower() for w in re.findall(r"[A-Z]?[a-z]+|[A-Z]+", name)}
+    return name.isascii() and not words.isdisjoint(MARKS) and words <= MARKS | FURNITURE
+
+
 def element(tag: str, raw: str) -> Node:
     if not raw.strip("/ \t\r\n\f"):
         return Node(tag, tag, tag in LEFT_OUT)
     has = attributes(raw)
-    marks = f"{has.get('class', '')} {has.get('id', '')}"
-    words = {w.lower() for w in re.findall(r"[A-Z]?[a-z]+|[A-Z]+", marks)}
+    names = f"{has.get('class', '')} {has.get('id', '')}"
     hidden = "hidden" in has or has.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", has.get("style", ""))
-    left_out = tag in LEFT_OUT or has.get("role", "").lower() in ROLES or bool(hidden) or not words.isdisjoint(MARKS)
+    left_out = tag in LEFT_OUT or has.get("role", "").lower() in ROLES
     main = "!main" if has.get("role") == "main" or has.get("itemprop") == "articleBody" else ""
-    return Node(tag, tag + "." + re.sub(r"\d+", "", " ".join(sorted(marks.split()))) + main, left_out)
+    made = Node(tag, tag + "." + re.sub(r"\d+", "", " ".join(sorted(names.split()))) + main, left_out)
+    if tag in CONTAINERS:
+        made.marks = tuple(k + re.sub(r"\d+", "", n) for k, c in ((".", "class"), ("#", "id")) for n in has.get(c, "").split() if is_mark(n))
+    made.marks += (HIDDEN,) * bool(hidden)
+    return made
 
 
 def parsed(page: str) -> Node:
@@ -159,17 +182,25 @@ def has_main(node: Node) -> bool:
     todo = [*node.content]
     while todo:
         n = todo.pop()
-        if n.tag in MAIN or n.tag == "h1":
+        if n.tag in MAIN and not n.marks or n.tag == "h1":
             return True
         if n.tag not in LEFT_OUT:
             todo += n.content
     return False
 
 
-def boilerplate(node: Node, in_main: bool) -> bool:
+def boilerplate(node: Node, inside: int, shown: frozenset[str] | None = None) -> bool:
+    """Whether an element is left out; of its marks, those in `shown` count, or all if that is None.
+
+    The main element and articles that lie in no other article are never left out for a class, an id or a role.
+    """
     if node.tag == "header":
-        return not in_main and not has_main(node)
-    return node.left_out and (node.tag in LEFT_OUT or not has_main(node))
+        return not inside and not has_main(node)
+    if node.tag in LEFT_OUT:
+        return True
+    if node.name.endswith("!main") or node.tag in MAIN and not (node.tag == "article" and inside == INSIDE["article"]):
+        return False
+    return (node.left_out or any(shown is None or m in shown for m in node.marks)) and not has_main(node)
 
 
 def folded(items: list[Node]) -> list[Node]:
@@ -194,6 +225,7 @@ def aligned(a: Node, b: Node, same_page: bool = False) -> Node:
     made.many, made.optional = a.many or b.many, a.optional or b.optional
     made.pages = max(a.pages, b.pages) if same_page else a.pages + b.pages
     made.chars, made.linked = a.chars + b.chars, a.linked + b.linked
+    made.marks = tuple(m for m in a.marks if m in b.marks)
     made.content = aligned_content(a.content, b.content, same_page)
     return made
 
@@ -215,18 +247,20 @@ def aligned_content(a: list[Node], b: list[Node], same_page: bool) -> list[Node]
     return folded(made)
 
 
-def wrapper_of(node: Node, in_main: bool = False, in_link: bool = False) -> Node:
+def wrapper_of(node: Node, inside: int = 0, in_link: bool = False, shown: frozenset[str] | None = None) -> Node:
     """A page's own wrapper: folded content, texts as slots with the characters outside of boilerplate."""
-    made = Node(node.tag, node.name, boilerplate(node, in_main))
+    made = Node(node.tag, node.name, boilerplate(node, inside, shown))
+    made.marks = node.marks
     if node.tag == "#":
         size = len(node.text.strip())
         made.chars, made.linked = size, size * in_link
         return made
     if made.left_out:
         return made
-    inside = [wrapper_of(n, in_main or node.tag in MAIN, in_link or node.tag == "a") for n in node.content if n.tag != "#" or n.text.strip()]
-    made.chars, made.linked = sum(n.chars for n in inside), sum(n.linked for n in inside)
-    made.content = folded([n for n in inside if not (n.left_out and n.tag in ("script", "style"))])
+    place, linked = max(inside, INSIDE.get(node.tag, 0)), in_link or node.tag == "a"
+    items = [wrapper_of(n, place, linked, shown) for n in node.content if n.tag != "#" or n.text.strip()]
+    made.chars, made.linked = sum(n.chars for n in items), sum(n.linked for n in items)
+    made.content = folded([n for n in items if not (n.left_out and n.tag in ("script", "style"))])
     return made
 
 
@@ -250,20 +284,20 @@ def pruned(node: Node) -> Node:
 
 
 def article_path(wrapper: Node) -> list[str]:
-    """Names from the root to the item that holds the articles."""
+    """Names from the root to the item that holds the articles; articles that are marked, as comments are, come last."""
     todo = [(wrapper, [wrapper.name])]
-    marked: list[tuple[int, list[str]]] = []
+    marked: list[tuple[bool, int, list[str]]] = []
     while todo:
         node, path = todo.pop()
         for n in node.content:
             if n.left_out or n.tag == "#":
                 continue
             if (n.tag in MAIN or n.name.endswith("!main")) and n.chars > 0:
-                marked.append((n.chars, [*path, n.name]))
+                marked.append((not n.marks, n.chars, [*path, n.name]))
             else:
                 todo.append((n, [*path, n.name]))
     if marked:
-        best = max(marked, key=lambda m: (m[0], m[1]))[1]
+        best = max(marked)[2]
         return inner_article(wrapper, best)
     node, path = wrapper, [wrapper.name]
     while True:
@@ -276,21 +310,37 @@ def article_path(wrapper: Node) -> list[str]:
 
 
 def inner_article(wrapper: Node, path: list[str]) -> list[str]:
-    """From a `main` on to an `article` within it that holds most of its text."""
+    """From a `main` on to an `article` within it that holds most of its text outside of marked articles."""
     node = wrapper
     for name in path[1:]:
         node = next(n for n in node.content if n.name == name)
     if node.tag == "article":
         return path
-    todo = [(node, path)]
+    todo, chars = [(node, path)], node.chars
+    found: list[tuple[int, list[str]]] = []
     while todo:
         n, p = todo.pop()
         for x in n.content:
-            if x.tag == "article" and not x.left_out and x.chars >= 0.5 * node.chars:
-                return [*p, x.name]
-            if not x.left_out and x.tag != "#":
-                todo.append((x, [*p, x.name]))
-    return path
+            if x.left_out or x.tag == "#":
+                continue
+            if x.tag == "article" and x.marks:
+                chars -= x.chars
+                continue
+            if x.tag == "article":
+                found.append((x.chars, [*p, x.name]))
+            todo.append((x, [*p, x.name]))
+    return next((p for c, p in found if c >= 0.5 * chars), path)
+
+
+def shown_marks(wrapper: Node, path: list[str]) -> list[str]:
+    """The marks that enough pages of a host show within its articles."""
+    least = min(wrapper.pages, max(MANY_PAGES, MANY_SHARE * wrapper.pages))
+    todo, found = at_path(wrapper, path), {HIDDEN}
+    while todo:
+        n = todo.pop()
+        todo += n.content
+        found.update(m for x in n.content if x.pages >= least for m in x.marks)
+    return sorted(found)
 
 
 def at_path(root: Node, path: list[str]) -> list[Node]:
@@ -300,7 +350,7 @@ def at_path(root: Node, path: list[str]) -> list[Node]:
     return found
 
 
-def blocks(node: Node) -> list[str]:
+def blocks(node: Node, shown: frozenset[str] | None = None) -> list[str]:
     """Texts of the blocks in page order, without boilerplate; white space within a block is one space."""
     out: list[str] = []
     run: list[str] = []
@@ -311,35 +361,44 @@ def blocks(node: Node) -> list[str]:
             out.append(text)
         run.clear()
 
-    in_main = node.tag in MAIN or node.name.endswith("!main")
-    todo: list[tuple[str, Node, bool]] = [("open", n, in_main) for n in reversed(node.content)]
+    start = max(INSIDE.get(node.tag, 0), int(node.name.endswith("!main")))
+    todo: list[tuple[str, Node, int]] = [("open", n, start) for n in reversed(node.content)]
     while todo:
-        how, n, main = todo.pop()
+        how, n, inside = todo.pop()
         if how == "close":
             end()
         elif n.tag == "#":
             run.append(n.text)
         elif n.tag == "br":
             run.append(" ")
-        elif not boilerplate(n, main):
+        elif not boilerplate(n, inside, shown):
             if n.tag in BLOCKS:
                 end()
-                todo.append(("close", n, main))
-            todo += [("open", x, main or n.tag in MAIN) for x in reversed(n.content)]
+                todo.append(("close", n, inside))
+            todo += [("open", x, max(inside, INSIDE.get(n.tag, 0))) for x in reversed(n.content)]
     end()
     return out
 
 
-def main_text(page: str | None, path: list[str] | None) -> str:
-    """The main text of one page, read where its host keeps articles, or where its own wrapper says if that is absent."""
+def main_text(page: str | None, path: list[str] | None, shown: frozenset[str] | None = None) -> str:
+    """The main text of one page, read where its host keeps articles, or where its own wrapper says if that is absent.
+
+    Within the article, marks count if the host's pages show them, or all of them if nothing is known of the host. Of a
+    page that has no text outside of marked or hidden elements, all is read but what tags and roles leave out.
+    """
     if not page:
         return ""
     tree = parsed(page)
-    places = at_path(tree, path) if path else []
-    text = "\n\n".join(b for p in places for b in blocks(p))
-    if not text:
-        text = "\n\n".join(b for p in at_path(tree, article_path(wrapper_of(tree))) for b in blocks(p))
-    return text
+
+    def read(path: list[str], shown: frozenset[str] | None) -> str:
+        return "\n\n".join(b for p in at_path(tree, path) for b in blocks(p, shown))
+
+    every: frozenset[str] = frozenset()
+    return (
+        (read(path, shown) if path else "")
+        or read(article_path(wrapper_of(tree)), shown)
+        or read(article_path(wrapper_of(tree, shown=every)), every)
+    )
 
 
 def host_of(url: Column) -> Column:
@@ -348,13 +407,14 @@ def host_of(url: Column) -> Column:
 
 
 def to_json(node: Node) -> list:
-    return [node.tag, node.name, node.left_out, node.many, node.optional, node.pages, node.chars, node.linked, [to_json(n) for n in node.content]]
+    return [node.tag, node.name, node.left_out, node.many, node.optional, node.pages, node.chars, node.linked, node.marks, [to_json(n) for n in node.content]]
 
 
 def from_json(held: list) -> Node:
     node = Node(held[0], held[1], held[2])
     node.many, node.optional, node.pages, node.chars, node.linked = held[3:8]
-    node.content = [from_json(n) for n in held[8]]
+    node.marks = tuple(held[8])
+    node.content = [from_json(n) for n in held[9]]
     return node
 
 
@@ -365,7 +425,10 @@ def written(wrapper: Node) -> str:
 
 
 def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """host, wrapper (JSON), expression and article path of every host, inferred from all of its pages."""
+    """host, wrapper (JSON), expression, article path and marks shown there of every host, inferred from all of its pages.
+
+    Pages without a host share a wrapper, but that tells nothing of marks: `shown` is null.
+    """
     schema = "host string, part int, wrapper string"
 
     def infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -395,33 +458,34 @@ def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [from_json(json.loads(w.as_py())) for w in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(map(written, made), pa.string()), pa.array([json.dumps(article_path(w)) for w in made], pa.string())],
-                ["host", "wrapper", "expression", "path"],
-            )
+            paths = [article_path(w) for w in made]
+            shown = [json.dumps(shown_marks(w, p)) if host.as_py() else None for host, w, p in zip(batch.column(0), made, paths)]
+            columns = [pa.array(c, pa.string()) for c in (map(written, made), map(json.dumps, paths), shown)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["host", "wrapper", "expression", "path", "shown"])
 
     own = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
     of_parts = own.mapInArrow(infer, schema).groupBy("host", "part").applyInPandas(merge, schema)
     of_hosts = of_parts.groupBy("host").applyInPandas(merge, schema)
-    return of_hosts.select("host", "wrapper").mapInArrow(finish, "host string, wrapper string, expression string, path string")
+    return of_hosts.select("host", "wrapper").mapInArrow(finish, "host string, wrapper string, expression string, path string, shown string")
 
 
 def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text, n_chars and host of every row, from its whole html.
 
     A null or empty page has an empty text; pages without a usable address share one wrapper, under the empty host.
-    Repeated rows are read alike; an empty table gives no rows. Only the hosts' article paths are joined to the pages,
+    Repeated rows are read alike; an empty table gives no rows. Only the hosts' article paths and marks are joined to the pages,
     in a join that Spark can split by rows if one host has many.
     """
-    paths = checkpointed(wrappers(pages, url_col, html_col).select("host", "path"))
+    paths = checkpointed(wrappers(pages, url_col, html_col).select("host", "path", "shown"))
     rows = pages.select(
         F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host_of(F.col(url_col)).alias("host")
     )
-    joined = rows.join(paths, "host", "left").select("page_id", "url", "html", "host", "path")
+    joined = rows.join(paths, "host", "left").select("page_id", "url", "html", "host", "path", "shown")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(page.as_py(), json.loads(path.as_py() or "[]")) for page, path in zip(batch.column(2), batch.column(4))]
+            known = zip(batch.column(2), batch.column(4).to_pylist(), batch.column(5).to_pylist())
+            texts = [main_text(page.as_py(), json.loads(path or "[]"), shown and frozenset(json.loads(shown))) for page, path, shown in known]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64()), batch.column(3)],
                 ["page_id", "url", "text", "n_chars", "host"],
