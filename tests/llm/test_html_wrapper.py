@@ -92,6 +92,16 @@ def test_marks_in_articles_need_the_hosts_pages(pages):
     assert found[7] == "T\n\nw 7\n\nkept" and found[8] == "T\n\nw 8"
 
 
+def test_thousands_of_nested_elements(pages):
+    deep = "<article><p>start</p>" + "<font>" * 5000 + "deep</article>"
+    divs = "<article><h1>T</h1>" + "<div>" * 5000 + "low" + "</div>" * 5000 + "</article>"
+    rows = [(k, "http://h/1", p, "x", "x", "x") for k, p in enumerate([deep, divs, deep, "<article><h1>T</h1><p>flat</p></article>"])]
+    found = {r["page_id"]: r["text"] for r in H.extracted(pages(rows)).collect()}
+    assert found == {0: "start\n\ndeep", 1: "T\n\nlow", 2: "start\n\ndeep", 3: "T\n\nflat"}
+    one = H.wrapper_of(H.parsed(divs))
+    assert H.written(H.from_json(H.to_json(one))) == H.written(one)
+
+
 def test_given_pages(spark, sf_dir):
     """All given pages have one article; its paragraphs by a plain split."""
     import html

@@ -15,8 +15,9 @@ from __future__ import annotations
 import html
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 from difflib import SequenceMatcher
+from functools import wraps
 
 import pandas as pd
 import pyarrow as pa
@@ -203,7 +204,30 @@ def boilerplate(node: Node, inside: int, shown: frozenset[str] | None = None) ->
     return (node.left_out or any(shown is None or m in shown for m in node.marks)) and not has_main(node)
 
 
-def folded(items: list[Node]) -> list[Node]:
+def stacked(steps):
+    """Runs a function that yields its calls, of itself and of others alike, on a stack of its own, however deep they nest."""
+
+    @wraps(steps)
+    def run(*args, **how):
+        stack: list[Generator] = [steps(*args, **how)]
+        value = None
+        while stack:
+            try:
+                call = stack[-1].send(value)
+            except StopIteration as end:
+                value = end.value
+                stack.pop()
+            else:
+                stack.append(call)
+                value = None
+        return value
+
+    run.steps = steps
+    return run
+
+
+@stacked
+def folded(items: list[Node]):
     """Adjacent repeats of one to LONGEST_PERIOD items as repeated items, aligned with one another."""
     for period in range(1, LONGEST_PERIOD + 1):
         out: list[Node] = []
@@ -213,41 +237,46 @@ def folded(items: list[Node]) -> list[Node]:
                 again = out[-period:]
                 del out[-period:]
                 for k, n in enumerate(again):
-                    joined = out[k - period] = aligned(out[k - period], n, same_page=True)
+                    joined = out[k - period] = yield aligned.steps(out[k - period], n, same_page=True)
                     joined.many = True
         items = out
     return items
 
 
-def aligned(a: Node, b: Node, same_page: bool = False) -> Node:
+@stacked
+def aligned(a: Node, b: Node, same_page: bool = False):
     """The least item that stands for both."""
     made = Node(a.tag, a.name, a.left_out and b.left_out)
     made.many, made.optional = a.many or b.many, a.optional or b.optional
     made.pages = max(a.pages, b.pages) if same_page else a.pages + b.pages
     made.chars, made.linked = a.chars + b.chars, a.linked + b.linked
     made.marks = tuple(m for m in a.marks if m in b.marks)
-    made.content = aligned_content(a.content, b.content, same_page)
+    if a.content or b.content:
+        made.content = yield aligned_content(a.content, b.content, same_page)
     return made
 
 
-def aligned_content(a: list[Node], b: list[Node], same_page: bool) -> list[Node]:
-    if not a and not b:
-        return []
+def aligned_content(a: list[Node], b: list[Node], same_page: bool) -> Generator:
     left, right = [n.name for n in a], [n.name for n in b]
     if left == right:
-        return [aligned(x, y, same_page) for x, y in zip(a, b)]
+        same = []
+        for x, y in zip(a, b):
+            same.append((yield aligned.steps(x, y, same_page)))
+        return same
     made: list[Node] = []
     for how, i, j, k, m in SequenceMatcher(None, left, right, autojunk=False).get_opcodes():
         if how == "equal":
-            made += [aligned(x, y, same_page) for x, y in zip(a[i:j], b[k:m])]
+            for x, y in zip(a[i:j], b[k:m]):
+                made.append((yield aligned.steps(x, y, same_page)))
         else:
             for n in [*a[i:j], *b[k:m]]:
                 n.optional = True
                 made.append(n)
-    return folded(made)
+    return (yield folded.steps(made))
 
 
-def wrapper_of(node: Node, inside: int = 0, in_link: bool = False, shown: frozenset[str] | None = None) -> Node:
+@stacked
+def wrapper_of(node: Node, inside: int = 0, in_link: bool = False, shown: frozenset[str] | None = None):
     """A page's own wrapper: folded content, texts as slots with the characters outside of boilerplate."""
     made = Node(node.tag, node.name, boilerplate(node, inside, shown))
     made.marks = node.marks
@@ -258,14 +287,22 @@ def wrapper_of(node: Node, inside: int = 0, in_link: bool = False, shown: frozen
     if made.left_out:
         return made
     place, linked = max(inside, INSIDE.get(node.tag, 0)), in_link or node.tag == "a"
-    items = [wrapper_of(n, place, linked, shown) for n in node.content if n.tag != "#" or n.text.strip()]
+    items = []
+    for n in node.content:
+        if n.tag != "#" or n.text.strip():
+            items.append((yield wrapper_of.steps(n, place, linked, shown)))
     made.chars, made.linked = sum(n.chars for n in items), sum(n.linked for n in items)
-    made.content = folded([n for n in items if not (n.left_out and n.tag in ("script", "style"))])
+    made.content = yield folded.steps([n for n in items if not (n.left_out and n.tag in ("script", "style"))])
     return made
 
 
 def count(node: Node) -> int:
-    return 1 + sum(map(count, node.content))
+    todo, found = [node], 0
+    while todo:
+        n = todo.pop()
+        found += 1
+        todo += n.content
+    return found
 
 
 def pruned(node: Node) -> Node:
@@ -407,21 +444,44 @@ def host_of(url: Column) -> Column:
 
 
 def to_json(node: Node) -> list:
-    return [node.tag, node.name, node.left_out, node.many, node.optional, node.pages, node.chars, node.linked, node.marks, [to_json(n) for n in node.content]]
+    """The items of a wrapper in its order, each with its depth."""
+    todo, found = [(0, node)], []
+    while todo:
+        depth, n = todo.pop()
+        found.append([depth, n.tag, n.name, n.left_out, n.many, n.optional, n.pages, n.chars, n.linked, n.marks])
+        todo += [(depth + 1, x) for x in reversed(n.content)]
+    return found
 
 
 def from_json(held: list) -> Node:
-    node = Node(held[0], held[1], held[2])
-    node.many, node.optional, node.pages, node.chars, node.linked = held[3:8]
-    node.marks = tuple(held[8])
-    node.content = [from_json(n) for n in held[9]]
-    return node
+    path: list[Node] = []
+    for depth, tag, name, left_out, many, optional, pages, chars, linked, marks in held:
+        node = Node(tag, name, left_out)
+        node.many, node.optional, node.pages, node.chars, node.linked, node.marks = many, optional, pages, chars, linked, tuple(marks)
+        del path[depth:]
+        if path:
+            path[-1].content.append(node)
+        path.append(node)
+    return path[0]
 
 
 def written(wrapper: Node) -> str:
     """The wrapper as a regular expression over elements: `name( ... )`, `+` repeated, `?` optional, `#` a text slot."""
-    inside = " ".join(map(written, wrapper.content))
-    return wrapper.name + (f"({inside})" if inside else "") + "+" * wrapper.many + "?" * wrapper.optional
+    todo: list[Node | str] = [wrapper]
+    out = []
+    while todo:
+        n = todo.pop()
+        if isinstance(n, str):
+            out.append(n)
+            continue
+        out.append(n.name)
+        todo.append("+" * n.many + "?" * n.optional)
+        if n.content:
+            todo.append(")")
+            for k, x in enumerate(reversed(n.content)):
+                todo += [" ", x] if k else [x]
+            todo.append("(")
+    return "".join(out)
 
 
 def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
