@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_automaton, chat_format, compression, dart_minhash, exact_dedup, html_wrapper, language_id, line_dedup, mixing, quality_rules
+from . import bpe_automaton, chat_format, compression, dart_minhash, exact_dedup, html_wrapper, language_id, line_dedup, mixing, quality_rules, token_alignment
 from .shared import documents, fold_number
 
 #: Where the vocabulary files are; read on the driver and sent to the executors by Spark.
@@ -80,6 +80,10 @@ def op10_mix_wfq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).drop("source")
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment(documents(spark, sf_dir), f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_compression_classifier": op2_compression_classifier,
@@ -91,6 +95,7 @@ QUERIES = {
     "op8_html_wrapper": op8_html_wrapper,
     "op9_chat_prefix_target": op9_chat_prefix_target,
     "op10_mix_wfq": op10_mix_wfq,
+    "op12_token_alignment": op12_token_alignment,
 }
 
 def _quality_sql() -> str:

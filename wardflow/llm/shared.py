@@ -31,11 +31,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """As checkpointed(), in columns: for wide tables of which later steps read a few columns."""
+def stored(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
+    """As checkpointed(), in columns: for wide tables of which later steps read a few columns, or the folders of some values."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    df.write.partitionBy(*by or []).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def sent_file(spark: SparkSession, path: str) -> str:
+    """Sends a file of the driver to the executors; the name under which SparkFiles finds it there."""
+    spark.sparkContext.addFile(path)
+    return path.rsplit("/", 1)[-1]
 
 
 def folded(text: Column) -> Column:
