@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_automaton, chat_format, compression, dart_minhash, exact_dedup, html_wrapper, language_id, line_dedup, mixing, quality_rules, token_alignment
+from . import bpe_automaton, chat_format, compression, dart_minhash, exact_dedup, html_wrapper, language_id, line_dedup, mixing, quality_rules, token_alignment, warc
 from .shared import documents, fold_number
 
 #: Where the vocabulary files are; read on the driver and sent to the executors by Spark.
@@ -84,6 +84,10 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.alignment(documents(spark, sf_dir), f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_compression_classifier": op2_compression_classifier,
@@ -96,6 +100,7 @@ QUERIES = {
     "op9_chat_prefix_target": op9_chat_prefix_target,
     "op10_mix_wfq": op10_mix_wfq,
     "op12_token_alignment": op12_token_alignment,
+    "op13_warc": op13_warc,
 }
 
 def _quality_sql() -> str:
@@ -234,5 +239,22 @@ WITH sized AS (
 SELECT s.doc_id, s.size, s.source_size, s.target, coalesce(t.taken, 0)::BIGINT AS taken
 FROM served s LEFT JOIN taken t
   ON s.doc_id IS NOT DISTINCT FROM t.doc_id AND s.source IS NOT DISTINCT FROM t.source AND s.size = t.size
+""",
+    "op13_warc": """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS digest FROM pages),
+kept AS (SELECT payload, max(page_id) AS keeper FROM payloads GROUP BY payload),
+fives AS (
+  SELECT page_id, list_transform(range(8), lambda g: list_reduce(
+           list_transform(range(5), lambda k: instr('0123456789abcdef', digest[5 * g + k + 1]) - 1), lambda x, y: 16 * x + y)) AS parts
+  FROM payloads
+), digests AS (
+  SELECT page_id, list_aggregate(list_transform(parts, lambda v: list_aggregate(list_transform([15, 10, 5, 0],
+           lambda s: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[(v >> s) % 32 + 1]), 'string_agg', '')), 'string_agg', '') AS payload_digest
+  FROM fives
+)
+SELECT page_id, strlen(payload) AS payload_bytes, payload_digest,
+       CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> keeper THEN keeper END AS refers_to
+FROM payloads JOIN kept USING (payload) JOIN digests USING (page_id)
 """,
 }
