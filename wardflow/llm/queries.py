@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_automaton, chat_format, compression, dart_minhash, exact_dedup, html_wrapper, language_id, line_dedup, mixing, quality_rules, token_alignment, warc
+from . import bpe_automaton, chat_format, compression, dart_minhash, exact_dedup, html_wrapper, language_id, line_dedup, mixing, quality_rules, spelling, token_alignment, warc
 from .shared import documents, fold_number
 
 #: Where the vocabulary files are; read on the driver and sent to the executors by Spark.
@@ -80,6 +80,10 @@ def op10_mix_wfq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).drop("source")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir), every=199)
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.alignment(documents(spark, sf_dir), f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
 
@@ -99,6 +103,7 @@ QUERIES = {
     "op8_html_wrapper": op8_html_wrapper,
     "op9_chat_prefix_target": op9_chat_prefix_target,
     "op10_mix_wfq": op10_mix_wfq,
+    "op11_spelling": op11_spelling,
     "op12_token_alignment": op12_token_alignment,
     "op13_warc": op13_warc,
 }
@@ -239,6 +244,56 @@ WITH sized AS (
 SELECT s.doc_id, s.size, s.source_size, s.target, coalesce(t.taken, 0)::BIGINT AS taken
 FROM served s LEFT JOIN taken t
   ON s.doc_id IS NOT DISTINCT FROM t.doc_id AND s.source IS NOT DISTINCT FROM t.source AND s.size = t.size
+""",
+    "op11_spelling": r"""
+WITH RECURSIVE byte_values AS (SELECT unnest(range(256)) AS b),
+steps AS (
+  SELECT 0 AS k, b, b AS c FROM byte_values UNION ALL
+  SELECT k + 1, b, xor(c >> 1, CASE WHEN c % 2 = 1 THEN 3988292384 ELSE 0 END) FROM steps WHERE k < 8
+), crc_table AS (SELECT b, c AS t FROM steps WHERE k = 8),
+runs AS (
+  SELECT doc_id, run, COUNT(*) AS n FROM (
+    SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents)
+  GROUP BY ALL
+), hashed AS (
+  SELECT doc_id, run, n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS raw FROM runs WHERE length(run) >= 6
+), effects AS (
+  SELECT 0 AS d, b, t AS e FROM crc_table UNION ALL
+  SELECT d + 1, s.b, xor(e >> 8, c.t) FROM effects s JOIN crc_table c ON c.b = e % 256
+  WHERE d + 1 < (SELECT max(length(raw)) // 2 FROM hashed)
+), starts AS (
+  SELECT 0 AS d, 4294967295 AS s UNION ALL
+  SELECT d + 1, xor(s >> 8, t) FROM starts JOIN crc_table ON b = s % 256 WHERE d < (SELECT max(length(raw)) // 2 FROM hashed)
+), letters AS (
+  SELECT doc_id, run, n, length(raw) // 2 AS size, unnest(range(length(raw) // 2)) AS i, raw FROM hashed
+), sums AS (
+  SELECT doc_id, run, n, size, bit_xor(e) AS x
+  FROM (SELECT doc_id, run, n, size, size - 1 - i AS d, 16 * (instr('0123456789ABCDEF', raw[2 * i + 1]) - 1)
+               + instr('0123456789ABCDEF', raw[2 * i + 2]) - 1 AS b FROM letters) JOIN effects USING (d, b)
+  GROUP BY ALL
+), crcs AS (SELECT doc_id, run, n, xor(xor(x, s), 4294967295) AS h FROM sums JOIN starts ON d = size),
+words AS (
+  SELECT CASE WHEN h % 199 = 0 THEN left(run, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word,
+         sum(n)::BIGINT AS n
+  FROM crcs GROUP BY 1 HAVING sum(n) >= 5 AND length(word) >= 6
+), cuts AS (
+  SELECT word, i, left(word, i) || substr(word, i + 2) AS rest FROM (SELECT word, unnest(range(length(word))) AS i FROM words)
+), near AS (
+  SELECT a.word AS word, b.word AS other FROM cuts a JOIN cuts b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT cuts.word, words.word FROM cuts JOIN words ON rest = words.word
+  UNION SELECT words.word, cuts.word FROM cuts JOIN words ON rest = words.word
+), best AS (
+  SELECT near.word AS word, COUNT(*) AS n_near, arg_min({'w': other, 'n': n}, (-n, other)) AS b
+  FROM near JOIN words ON words.word = other GROUP BY 1
+), forms AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN b.n >= 5 * n THEN b.w END AS form, CASE WHEN b.n >= 5 * n THEN b.n END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), roots AS (
+  SELECT word, word AS root FROM forms WHERE form IS NULL UNION ALL
+  SELECT forms.word, roots.root FROM roots JOIN forms ON forms.form = roots.word
+)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)
 """,
     "op13_warc": """
 WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS digest FROM pages),
