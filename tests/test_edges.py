@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wardflow.functions import numbers as nb, text as tx
 from wardflow.operators import calendar as cal, checks, dedup, profile, stays as st
 from wardflow.operators.upsert import upsert
-from wardflow.plans import capacity, diagnosis, stay_length
+from wardflow.plans import capacity, dashboard, diagnosis, stay_length
 from wardflow.plans.capacity import Warehouse
 from wardflow.settings import Scope, Settings
 from wardflow.sources import domains
@@ -294,3 +294,38 @@ def test_reports_from_precomputed_months(spark):
         diagnosis.facility_diagnosis,
     ):
         assert report(w, SETTINGS, rows=months).collect() == report(w, SETTINGS).collect()
+
+
+def filtered_house(spark):
+    """A staffed unit from June to August; one stay leaves on 30 June and enters on 1 July, one stays from June into July."""
+    beds = spark.createDataFrame([("1", "01", p, "1", 10, 8, 1) for p in ("202306", "202307", "202308")], BED)
+    rows = [
+        claim("early", admit=date(2023, 7, 1), out=date(2023, 6, 30)),
+        claim("long", admit=date(2023, 6, 29), out=date(2023, 7, 3)),
+        claim("late", admit=date(2023, 8, 5), out=date(2023, 8, 9)),
+    ]
+    names = spark.createDataFrame([], "facility_id string, period string, facility_name string")
+    return Warehouse(
+        beds, claims(spark, *rows), names, domains.bed_types(spark), domains.specialty_bridge(spark), domains.domain(spark, "specialty")
+    )
+
+
+@pytest.mark.parametrize(
+    "periods, discharges, days",
+    [(["202306"], 1, 2), (["202307"], 1, 3), (["202306", "202307"], 2, 5), (["202306", "202308"], 2, 6), ([], 0, None), (None, 3, 9)],
+)
+def test_period_filter_sees_every_discharge(spark, periods, discharges, days):
+    w, settings = dashboard.narrowed(filtered_house(spark), SETTINGS, periods=periods)
+    kpis = dashboard.network_kpis(w, settings).first()
+    matrix = dashboard.hospital_matrix(w, settings).collect()
+    assert kpis.discharges == discharges
+    assert [m.discharges for m in matrix] == ([discharges] if days else [])
+    assert capacity.monthly(w, settings).agg(F.sum("occupied_days")).first()[0] == days
+
+
+def test_period_filter_reaches_specialty_reports(spark):
+    w, settings = dashboard.narrowed(filtered_house(spark), SETTINGS, periods=["202306", "202308"])
+    codes = domains.literal_table(spark, [("01", "01")], ("bed_code", "specialty"))
+    (row,) = dashboard.specialty_deviation(w, settings, codes).collect()
+    assert (row.registered, row.attended) == (10 * 61, 6)
+    assert one(dashboard.stay_by_specialty(w, settings), "stays") == [2]

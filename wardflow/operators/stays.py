@@ -38,7 +38,7 @@ def stay_base(admissions: DataFrame, bridge: DataFrame, scope: Scope) -> DataFra
     mapped = bridge.filter(F.col("bed_type").isin(*scope.bed_types))
     places = mapped.agg(F.array_sort(F.collect_set(F.struct("specialty", "bed_type")))).scalar()
     rows = (
-        admissions.filter((F.col("claim_kind") == scope.claim_kind) & (F.col("admit_date") <= F.lit(scope.end)))
+        admissions.filter((F.col("claim_kind") == scope.claim_kind) & (F.col("admit_date") <= F.lit(scope.claims_until or scope.end)))
         .join(mapped, "specialty")
         .withColumn("days", stay_days("admit_date", "discharge_date", "billed_days", "reported_days"))
     )
@@ -55,6 +55,11 @@ def stay_base(admissions: DataFrame, bridge: DataFrame, scope: Scope) -> DataFra
     )
 
 
+def counted(month: Column, scope: Scope) -> Column:
+    """Whether a month, told by its first day, is one that the report counts."""
+    return F.lit(True) if scope.chosen is None else month.isin(list(scope.chosen))
+
+
 def _occupied_until(scope: Scope) -> Column:
     """First free day, cut off after the scope so that a bogus length cannot overflow."""
     after = F.last_day(F.lit(scope.last_month))
@@ -81,6 +86,7 @@ def stay_months(stays: DataFrame, scope: Scope) -> DataFrame:
     return (
         _within_scope(stays, scope)
         .withColumn("month_start", F.explode(months_between(first, last)))
+        .filter(counted(F.col("month_start"), scope))
         .withColumn(
             "days_here",
             F.datediff(

@@ -7,7 +7,7 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from wardflow.functions.dates import stay_days
+from wardflow.functions.dates import month_of, stay_days
 from wardflow.functions.numbers import ratio, rounded, total
 from wardflow.operators import beds as b, dedup, stays as s
 from wardflow.operators.beds import UNIT
@@ -54,17 +54,20 @@ def narrowed(
     """The dashboard's filters, for every report: pass its result on as the report's first two arguments.
 
     None leaves a filter out, an empty list selects nothing. Bed types and specialties act on finished stays, after each
-    stay's row is chosen, so a stay counts under one of them. Periods and facilities are part of what identifies a stay
-    or are later than it, so they reach the sources: claims after the last chosen month are not read. Beds are those of
-    the bed types, and of the types that the specialties map to.
+    stay's row is chosen, so a stay counts under one of them. Facilities identify a stay, so they reach the sources. Periods
+    reach the beds and bound the months that stays are apportioned to; claims of the whole scope still choose each stay's
+    row, as a discharge may lie in another month than the admission, even before it. Beds are those of the bed types, and
+    of the types that the specialties map to.
     """
     beds, claims, scope = w.beds, w.admissions, settings.scope
     if periods is not None:
         beds = beds.filter(F.col("period").isin(list(periods)))
         months = [m for m in scope.months if m.strftime("%Y%m") in set(periods)]
+        until = scope.claims_until or scope.end
         if months:
             last = (months[-1].replace(day=28) + timedelta(days=4)).replace(day=1) - timedelta(days=1)
             scope = replace(scope, start=max(scope.start, months[0]), end=min(scope.end, last))
+        scope = replace(scope, claims_until=until, chosen=tuple(months))
     if facilities is not None:
         beds = beds.filter(F.col("facility_id").isin(list(facilities)))
         claims = claims.filter(F.col("facility_id").isin(list(facilities)))
@@ -138,6 +141,7 @@ def specialty_stays(w: Warehouse, settings: Settings) -> DataFrame:
         w.admissions.filter(
             (F.col("claim_kind") == scope.claim_kind)
             & F.col("admit_date").between(F.lit(scope.start), F.lit(scope.end))
+            & s.counted(month_of("admit_date"), scope)
         )
         .withColumn("stay_days", stay_days("admit_date", "discharge_date", "billed_days", "reported_days"))
         .select(*s.STAY, "discharge_date", "specialty", "stay_days")

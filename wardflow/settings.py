@@ -8,13 +8,20 @@ from datetime import date
 
 @dataclass(frozen=True)
 class Scope:
-    """Which months, beds and claims an analysis covers."""
+    """Which months, beds and claims an analysis covers.
+
+    Claims admitted up to ``claims_until`` (the end, if not given) take part in choosing each stay's row: a report on some
+    months still has to see later claims, since a stay's discharge can lie before its admission. ``chosen`` months are those
+    that a report counts, all if not given.
+    """
 
     start: date = date(2024, 6, 1)
     end: date = date(2026, 5, 31)
     bed_types: tuple[str, ...] = ("1", "2")
     own_flag: int = 1
     claim_kind: str = "1"
+    claims_until: date | None = None
+    chosen: tuple[date, ...] | None = None
 
     def __post_init__(self):
         if self.start > self.end:
