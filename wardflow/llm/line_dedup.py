@@ -1,10 +1,12 @@
 """Removal of repeated passages by hashing lines and the sentences in them.
 
-A unit is a line, or one of its sentences if it has several; in normalised form it is lower-cased with single spaces.
-Digests are grouped over all documents and the occurrence that ranks first, by key and place, is kept. Later ones of a
-whole line are removed whatever its length, and so are all units of a text without a first occurrence. A sentence in a
-line that is not itself a repeat goes where consecutive ones make up a passage of enough words, so that a short sentence
-that many texts share by chance stays. Original offsets are kept throughout.
+A unit is a line; in normalised form it is lower-cased with single spaces. Digests are grouped over all documents and the
+occurrence that ranks first, by key and place, is kept; later ones are removed whatever their length.
+
+With `passage_words`, the sentences of a line are units as well, for passages that are repeated inside of longer lines: all
+units of a text without a first occurrence go, and sentences of lines that are not themselves repeats go where consecutive
+ones make up a passage of that many words, so that a sentence that texts share by chance stays. Original offsets are kept
+throughout.
 """
 
 from __future__ import annotations
@@ -20,19 +22,17 @@ from pyspark.sql.window import Window
 
 from .shared import stored
 
-#: Words that consecutive repeated units need together to be removed from lines that are not repeats.
-PASSAGE_WORDS = 20
 #: Code points that count as a word at least, for languages written without spaces.
 WORD_CHARS = 5
 DIGEST_BYTES = 16
-#: What separates units: line ends, and white space after the end of a sentence.
-BETWEEN = re.compile(r"\n|(?<=[.!?])[^\S\n]+")
+#: What separates lines, and sentences: white space after the end of one.
+LINES, SENTENCES = re.compile(r"\n"), re.compile(r"\n|(?<=[.!?])[^\S\n]+")
 
 
-def units(text: str) -> Iterator[tuple[int, int, str]]:
+def units(text: str, between: re.Pattern = SENTENCES) -> Iterator[tuple[int, int, str]]:
     """Start, end and normalised form of the units of a text, without surrounding white space, empty ones left out."""
     at = 0
-    for gap in [*BETWEEN.finditer(text), None]:
+    for gap in [*between.finditer(text), None]:
         end = gap.start() if gap else len(text)
         piece = text[at:end]
         words = piece.lower().split()
@@ -54,7 +54,7 @@ def line_sizes(text: str, found: list[tuple[int, int, str]]) -> list[int]:
     return sizes
 
 
-def hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def hashed(docs: DataFrame, id_col: str, text_col: str, between: re.Pattern) -> DataFrame:
     """row, doc_id, text_hash, unit, start, end, words, lines, of, digest of every unit, and of every line of several.
 
     `lines` is the number of units of a whole line, 0 for a sentence in a longer one; a line has the number of its first
@@ -71,7 +71,7 @@ def hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 some = batch.slice(at, 256)
                 rows_of, number, starts, ends, words, lines, of, digests = [], [], [], [], [], [], [], []
                 for k, text in enumerate(some.column(3).to_pylist()):
-                    found = list(units(text or ""))
+                    found = list(units(text or "", between))
                     parts, n = [], 0
                     for size in line_sizes(text or "", found):
                         line = found[n : n + size]
@@ -91,17 +91,17 @@ def hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.mapInArrow(split, f"row long, doc_id {kind}, text_hash long, unit int, start int, end int, words int, lines int, of int, digest binary")
 
 
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", passage_words: int = PASSAGE_WORDS) -> DataFrame:
+def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", passage_words: int | None = None) -> DataFrame:
     """One row per removed unit: doc_id, unit, start, end, words, passage_words, keep_doc_id, keep_start, text_hash, row.
 
     The first occurrence is that of the smallest key, null keys last, then of the first row and place; rows that repeat
     a key are ranked by their order in the input, so a repeated row loses all. Offsets are code points. A unit has as many
     words as white space sets apart, or one per WORD_CHARS code points if that is more; passage_words is their sum over
-    the run of repeated units, and the least that a run needs outside of repeated lines. Null and empty texts have no
-    units; an empty table gives no rows. Counting a digest combines before the shuffle, and the join
+    the run of repeated units, and the least that a run needs outside of repeated lines; without it, units are whole lines.
+    Null and empty texts have no units; an empty table gives no rows. Counting a digest combines before the shuffle, and the join
     that finds the later occurrences can be split by Spark, so a line that is in a third of all texts is no bottleneck.
     """
-    found = stored(hashed(docs, id_col, text_col), "units")
+    found = stored(hashed(docs, id_col, text_col, LINES if passage_words is None else SENTENCES), "units")
     rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "start")
     first = found.groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("digest", "first")
     later = found.join(first, "digest").filter((F.col("row") != F.col("first.row")) | (F.col("start") != F.col("first.start")))
@@ -111,9 +111,10 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pas
     runs = in_line.withColumn("run", F.col("unit") - F.row_number().over(in_text))
     passage = F.sum("words").over(Window.partitionBy("row", "run"))
     all_units = F.count(F.lit(1)).over(Window.partitionBy("row")) == F.col("of")
+    long_enough = F.lit(False) if passage_words is None else F.col("passage_words") >= passage_words
     return (
         runs.withColumns({"every": all_units, "passage_words": passage})
-        .filter(F.col("whole") | F.col("every") | (F.col("passage_words") >= passage_words))
+        .filter(F.col("whole") | F.col("every") | long_enough)
         .select(
             "doc_id", "unit", "start", "end", "words", "passage_words",
             F.col("first.doc_id").alias("keep_doc_id"), F.col("first.start").alias("keep_start"), "text_hash", "row",
@@ -121,7 +122,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pas
     )
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", passage_words: int = PASSAGE_WORDS) -> DataFrame:
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", passage_words: int | None = None) -> DataFrame:
     """docs with the repeated passages cut from their texts, and `kept_spans`: the original offsets of what is left.
 
     Rows that repeat both key and text are cut alike, as the first of them. A text without repeats is left as it is.

@@ -14,6 +14,8 @@ from .shared import documents, fold_number
 TOKENIZERS = os.environ.get("TOKENIZER_FOLDER", "/opt/tokenizers")
 #: Least score of a document that counts as good.
 GOOD = 0.3
+#: Words of a repeated passage inside of longer lines that makes it go.
+PASSAGE_WORDS = 20
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,7 +36,7 @@ def op2_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.repeats(documents(spark, sf_dir)).drop("row", "text_hash")
+    return line_dedup.repeats(documents(spark, sf_dir), passage_words=PASSAGE_WORDS).drop("row", "text_hash")
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
