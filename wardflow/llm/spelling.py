@@ -4,7 +4,8 @@ A word is a point whose coordinates count its letters. One inserted letter raise
 lowers one, one replaced letter does both; so a word's near words lie within an L1 distance of 2. The search for a pair of
 lengths is narrower still: among words of the same length at most 1 up and 1 down, among words one letter longer 1 up
 and none down, among words one letter shorter the reverse. Both sums are kept apart while a tree is walked, and a box
-that exceeds either is pruned. What is left is verified letter by letter.
+that exceeds either is pruned. In a leaf, squared distances tell the points in reach: where no coordinate differs by more
+than 1, they are L1 distances, and beyond that they are larger. What is left is verified letter by letter.
 
 The points of each length are split into cells by the upper levels of a tree, which every task knows; its splits come
 from a bounded sample of the vocabulary and decide only where a point lies. A query goes to every cell whose box it can
@@ -31,7 +32,9 @@ HELD_WORDS = 500_000
 #: Words of the sample that places the cells, about 2 MB; the links found do not depend on it.
 SAMPLE = 100_000
 #: Points of a cell, and of a leaf of its tree.
-CELL_POINTS, LEAF_POINTS = 8192, 32
+CELL_POINTS, LEAF_POINTS = 8192, 128
+#: Up to this length of words, squared distances are exact in single precision; up to the other, letters are compared in arrays.
+SINGLE_PRECISION, IN_ARRAYS = 1000, 64
 #: Queries that walk a tree together.
 TOGETHER = 4096
 #: Most tasks of the search.
@@ -172,39 +175,82 @@ def one_edit(a: str, b: str) -> bool:
     return a[k:] == b[k + 1 :] if n < len(b) else k < n and a[k + 1 :] == b[k + 1 :]
 
 
+def letters_of(words: list[str], size: int) -> np.ndarray:
+    """The code points of words of one length, a row each."""
+    return np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(len(words), size)
+
+
+def edited(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Per row whether one edit makes b of a, as one_edit; b is as long as a or one letter longer."""
+    size = a.shape[1]
+    if b.shape[1] == size:
+        return (a != b).sum(1) == 1
+    ahead = np.cumprod(a == b[:, :size], 1, dtype=np.int8).sum(1)
+    behind = np.cumprod((a == b[:, 1:])[:, ::-1], 1, dtype=np.int8).sum(1)
+    return ahead + behind >= size
+
+
 class Cell:
-    """The points of one cell in a tree."""
+    """The points of one cell, words of one length, in a tree."""
 
     def __init__(self, words: list[str], counts: list[int]):
-        self.words, self.counts = words, counts
-        self._points = letter_counts(words)
-        self._tree = Tree(self._points, LEAF_POINTS)
-
-    def near(self, queries: list[str], difference: int) -> Iterator[tuple[int, int]]:
-        """(query, point) of all near words of a length that differs so."""
+        points = letter_counts(words)
+        self._tree = Tree(points, LEAF_POINTS)
+        order = np.concatenate(self._tree.leaves)
+        points = points[order]
+        self.words, self.counts = [words[k] for k in order], [counts[k] for k in order]
+        self._ends = np.cumsum([0, *map(len, self._tree.leaves)])
+        self._size = len(words[0])
+        self._kind = np.float32 if self._size <= SINGLE_PRECISION else np.float64
+        self._used = np.flatnonzero(points.any(0))
+        # One product gives a squared distance: the points carry -2 times their counts, their squares, and 1 for the query's.
+        numbers = points[:, self._used].astype(self._kind)
+        self._factors = np.hstack([-2 * numbers, (numbers**2).sum(1, keepdims=True), np.ones((len(words), 1), self._kind)]).T.copy()
+        self._letters = letters_of(self.words, self._size) if self._size <= IN_ARRAYS else None
+        self.rank = np.empty(len(words), np.int64)
+        self.rank[sorted(range(len(words)), key=lambda k: (-self.counts[k], self.words[k]))] = np.arange(len(words))
+        self.by_rank = np.argsort(self.rank)
+
+    def near(self, queries: list[str], difference: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Arrays of queries and points: all near words among the cell's, which are longer than the queries by the difference."""
         up, down = REACH[difference]
         for at in range(0, len(queries), TOGETHER):
             part = queries[at : at + TOGETHER]
             counts = letter_counts(part)
+            numbers = counts.astype(self._kind)
+            factors = np.hstack([numbers[:, self._used], np.ones((len(part), 1), self._kind), (numbers**2).sum(1, keepdims=True)])
+            letters = letters_of(part, self._size - difference) if self._letters is not None else None
             for leaf, which in self._tree.reached(counts, up, down):
-                points = self._tree.leaves[leaf]
-                for lo in range(0, len(points), LEAF_POINTS):
-                    some = points[lo : lo + LEAF_POINTS]
-                    apart = self._points[some][None] - counts[which][:, None]
-                    fits = (np.maximum(apart, 0).sum(2) <= up) & (np.maximum(-apart, 0).sum(2) <= down)
-                    for q, p in zip(*(k.tolist() for k in np.nonzero(fits))):
-                        if one_edit(part[which[q]], self.words[some[p]]):
-                            yield at + int(which[q]), int(some[p])
+                # A leaf of equal points may be large.
+                for lo in range(self._ends[leaf], self._ends[leaf + 1], LEAF_POINTS):
+                    apart = factors[which] @ self._factors[:, lo : min(lo + LEAF_POINTS, self._ends[leaf + 1])]
+                    q, p = np.nonzero(apart == up + down)
+                    q, p = which[q], p + lo
+                    if len(q):
+                        fits = self._verified(part, letters, q, p, difference)
+                        yield q[fits] + at, p[fits]
+
+    def _verified(self, queries: list[str], letters: np.ndarray | None, q: np.ndarray, p: np.ndarray, difference: int) -> np.ndarray:
+        if letters is None:
+            return np.array([one_edit(queries[i], self.words[k]) for i, k in zip(q.tolist(), p.tolist())], bool)
+        asked, held = letters[q], self._letters[p]
+        return edited(asked, held) if difference >= 0 else edited(held, asked)
 
 
 def cells_of(words: DataFrame, cell_points: int = CELL_POINTS) -> dict[int, Tree]:
-    """The upper tree of each length that has more than cell_points words; there are few such lengths."""
-    sizes = dict(words.groupBy(F.length("word").alias("size")).count().filter(F.col("count") > cell_points).collect())
+    """The upper tree of each length that has more than cell_points words; there are few such lengths.
+
+    The sample takes the words whose hashes are below a share of all hashes, about SAMPLE of them however many there are.
+    """
+    lengths = words.groupBy(F.length("word").alias("size")).count()
+    sizes = dict(lengths.filter(F.col("count") > cell_points).collect())
+    if not sizes:
+        return {}
+    share = int(min(1.0, SAMPLE / sum(sizes.values())) * (1 << 30))
+    chosen = words.filter(F.length("word").isin(list(sizes)) & (F.pmod(F.xxhash64("word"), F.lit(1 << 30)) < share))
     sample: dict[int, list[str]] = {}
-    if sizes:
-        for (word,) in words.select("word").orderBy(F.xxhash64("word"), "word").limit(SAMPLE).collect():
-            if len(word) in sizes:
-                sample.setdefault(len(word), []).append(word)
+    for (word,) in chosen.select("word").collect():
+        sample.setdefault(len(word), []).append(word)
     return {size: Tree(letter_counts(some), max(1.0, len(some) * cell_points / sizes[size])) for size, some in sample.items()}
 
 
@@ -268,20 +314,23 @@ def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             tree = tree or Cell(words, counts)
             asked, differences = part.column(2).to_pylist(), part.column(4).to_numpy()
-            found: dict[int, tuple[int, int, str]] = {}
+            near, best = np.zeros(len(asked), np.int64), np.full(len(asked), len(words), np.int64)
             for difference in REACH:
-                which = np.flatnonzero(differences == difference).tolist()
-                for q, p in tree.near([asked[k] for k in which], difference):
-                    q, n, word = which[q], counts[p], words[p]
-                    near, best_n, best = found.get(q, (0, 0, ""))
-                    if not near or n > best_n or n == best_n and word < best:
-                        best_n, best = n, word
-                    found[q] = near + 1, best_n, best
-            if found:
-                columns = zip(*[(asked[q], *f) for q, f in found.items()])
-                kinds = (pa.string(), pa.int64(), pa.int64(), pa.string())
+                which = np.flatnonzero(differences == difference)
+                for q, p in tree.near([asked[k] for k in which.tolist()], difference):
+                    np.add.at(near, which[q], 1)
+                    np.minimum.at(best, which[q], tree.rank[p])
+            hit = np.flatnonzero(near)
+            if len(hit):
+                points = tree.by_rank[best[hit]].tolist()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds)], ["word", "n_near", "best_n", "best"]
+                    [
+                        part.column(2).take(pa.array(hit)),
+                        pa.array(near[hit]),
+                        pa.array([tree.counts[p] for p in points], pa.int64()),
+                        pa.array([tree.words[p] for p in points], pa.string()),
+                    ],
+                    ["word", "n_near", "best_n", "best"],
                 )
 
 
