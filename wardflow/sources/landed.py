@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from wardflow.sources import footers
+
 FILE, ROW = "_file", "_row"
 
 
@@ -49,10 +51,9 @@ def read_files(spark: SparkSession, paths: list[str], with_order: bool = True, *
 
 
 def groups_of_one_layout(spark: SparkSession, paths: list[str]) -> list[list[str]]:
-    """The files behind paths and globs in groups whose column types agree.
+    """The files behind paths and globs in groups whose column types agree, for stores whose footers tasks cannot open.
 
-    Files that disagree are split in half until they do not, in the order of their names, so months that changed a type
-    once give a few groups however many there are.
+    Files that disagree are split in half until they do not, in the order of their names.
     """
 
     def split(files: list[str]) -> list[list[str]]:
@@ -74,11 +75,18 @@ def read_consolidated(
 ) -> DataFrame:
     """Files of several layouts as one typed table.
 
-    Each entry of ``layouts`` is a list of paths or globs. Columns and their types may differ file by file; the number
-    of scans is the number of layouts, not of files.
+    Each entry of ``layouts`` is a list of paths or globs. Columns and their types may differ file by file; tasks read the
+    footers, and the number of scans is the number of layouts that contradict each other, not of files.
     """
-    groups = [g for paths in layouts if paths for g in groups_of_one_layout(spark, paths)]
-    return union_layouts(spark, [read_files(spark, g, with_order, mergeSchema="true") for g in groups], schema)
+    frames = []
+    for paths in filter(None, layouts):
+        if footers.can_open(paths[0]):
+            for files, held in footers.scans(spark, paths):
+                rows = spark.read.schema(held).option("recursiveFileLookup", "true").parquet(*files)
+                frames.append(with_position(rows) if with_order else rows)
+        else:
+            frames += [read_files(spark, g, with_order, mergeSchema="true") for g in groups_of_one_layout(spark, paths)]
+    return union_layouts(spark, frames, schema)
 
 
 def read_registry_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ";") -> DataFrame:
