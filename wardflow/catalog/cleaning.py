@@ -145,20 +145,20 @@ def _domain_lookup(spark, d):
     )
 
 
-def _expected(spark):
+def expected(spark):
     return cal.expected_periods(spark, (1997, 7), (2000, 6))
 
 
 def _missing_periods(spark, d):
     return collection.period_ledger(
-        _expected(spark), tb.facilities(spark, d), F.col("region_code") == tx.code(F.lit("7"), REGION_WIDTH)
+        expected(spark), tb.facilities(spark, d), F.col("region_code") == tx.code(F.lit("7"), REGION_WIDTH)
     )
 
 
 def _collection_status(spark, d):
     raw = tb.raw_beds(spark, d).withColumn("period", tx.period("period"))
     bad = (F.col("period") > "199906") & tx.integer("beds_total").isNull()
-    return collection.collection_status(_expected(spark), raw, tb.facilities(spark, d).filter("period < '199901'"), bad)
+    return collection.collection_status(expected(spark), raw, tb.facilities(spark, d).filter("period < '199901'"), bad)
 
 
 CONSOLIDATED = T.StructType(
@@ -198,11 +198,15 @@ def _upsert(spark, d):
 
 def _load_summary(spark, d):
     return load.load_summary(
-        {"facility": _clean_facilities(spark, d), "bed": _clean_beds(spark, d), "admission": _clean_admissions(spark, d)}
+        {
+            "facility": (load.consolidate_facilities(_raw_facilities(spark, d)), FACILITY),
+            "bed": (_flagged(spark, d), CLEAN_BED),
+            "admission": (load.consolidate_admissions(tb.raw_admissions(tb.admissions(spark, d))), ADMISSION),
+        }
     )
 
 
-def _scratch(spark) -> str:
+def scratch(spark) -> str:
     """A new folder under storage that driver and executors share."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{shared.rstrip('/')}/wardflow-{uuid.uuid4().hex}"
@@ -210,7 +214,7 @@ def _scratch(spark) -> str:
 
 def _incremental_ingest(spark, d):
     """Streams the claim file into a scratch warehouse and returns the resulting table."""
-    scratch = _scratch(spark)
+    scratch = scratch(spark)
     ingest_new_files(
         spark,
         f"{d}/lineitem.parquet",
@@ -228,18 +232,18 @@ LANDED_BED = {
 }
 
 
-def _two_loads(spark, d):
+def two_loads(spark, d):
     """Two loads of the raw beds, first the early months and then all of them: warehouse folder and reports."""
     raw = _flagged(spark, d).select(*[F.col(c).alias(n) for n, c in LANDED_BED.items()], "own_flag", "copy_no")
     raw = raw.withColumns({landed.FILE: F.lit("beds"), landed.ROW: F.col("copy_no").cast("long")}).drop("copy_no")
-    house = f"{_scratch(spark)}/warehouse"
+    house = f"{scratch(spark)}/warehouse"
     early = raw.filter(tx.period("COMPETEN") < "199901")
     return house, [load.load(spark, {"bed": rows}, house, run=run) for run, rows in (("first", early), ("second", raw))]
 
 
 def _load_report(spark, d):
     """What became of every row of the two loads."""
-    _, reports = _two_loads(spark, d)
+    _, reports = two_loads(spark, d)
     rows = []
     for r in reports:
         t = r.tables["bed"]
@@ -249,7 +253,7 @@ def _load_report(spark, d):
 
 def _load_rejects(spark, d):
     """Rejected rows by load and code, as they lie in the rejects' folder."""
-    house, _ = _two_loads(spark, d)
+    house, _ = two_loads(spark, d)
     rejects = spark.read.csv(f"{house}/_rejects/bed", header=True)
     return rejects.groupBy("run", F.col("_reject").alias("rejected_by"), F.lpad(F.col("bed_code").cast("string"), 2, "0").alias("bed_code")).agg(
         F.count("*").alias("row_count")
@@ -258,7 +262,7 @@ def _load_rejects(spark, d):
 
 def _drifting_files(spark, d):
     """Lineitem as one file per year, whose columns and types change from year to year, read back as one table."""
-    target = f"{_scratch(spark)}/landed"
+    target = f"{scratch(spark)}/landed"
     li = tb.table(spark, d, "lineitem")
     year = F.year("l_shipdate")
     years = [r[0] for r in li.select(year.alias("y")).distinct().orderBy("y").collect()]
@@ -274,7 +278,7 @@ def _drifting_files(spark, d):
 
 def _dedup_keep_last(spark, d):
     """The last row of each key by file and row of real files: the copies lie in a later file."""
-    target = f"{_scratch(spark)}/landed"
+    target = f"{scratch(spark)}/landed"
     raw = tb.raw_beds(spark, d)
     for copy in (0, 1):
         # A key's rows lie in one file, the greatest last.

@@ -128,8 +128,8 @@ def value_range(df: DataFrame, name: str, columns: list[str]) -> DataFrame:
 #
 # Distributions start from one row per value and its count, which collapses before the shuffle where values repeat, hot
 # groups included. Exact percentiles are found by rank: values are cut into ranges by a sketch of fixed size, the counts
-# of the ranges are added up, and only then are the values of one range numbered. So no task holds all values. For
-# columns known to have few distinct values, such as days or ages, ``few_values`` does that in a single buffer.
+# of the ranges are added up, and only the values of the ranges that hold a wanted rank are numbered, at most two ranges
+# for each percentile. So no task holds all values, and most values are not sorted at all. For columns known to have few distinct values, such as days or ages, ``few_values`` does that in a single buffer.
 
 RANGES = 64
 
@@ -159,9 +159,12 @@ def weighted_percentiles(probs) -> Column:
     return F.percentile("v", F.array(*[F.lit(float(p)) for p in probs]), F.col("n"))
 
 
-def ranked_percentiles(counts: DataFrame, keys: list[str], probs) -> DataFrame:
-    """``keys`` and ``p``, the interpolated percentiles of ``v`` with weight ``n``, found by rank."""
-    cuts = F.approx_percentile("v", F.array(*[F.lit(k / RANGES) for k in range(1, RANGES)])).alias("cuts")
+def ranked_percentiles(counts: DataFrame, keys: list[str], probs, ranges: int = RANGES) -> DataFrame:
+    """``keys`` and ``p``, the interpolated percentiles of ``v`` with weight ``n``, found by rank.
+
+    More ``ranges`` make each smaller, for columns of very many distinct values.
+    """
+    cuts = F.approx_percentile("v", F.array(*[F.lit(k / ranges) for k in range(1, ranges)])).alias("cuts")
     same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
     on = reduce(lambda x, y: x & y, same, F.lit(True))
     marks = counts.groupBy(*keys).agg(cuts, F.sum("n").alias("total"))
@@ -173,10 +176,14 @@ def ranked_percentiles(counts: DataFrame, keys: list[str], probs) -> DataFrame:
     below = F.size(F.filter("cuts", lambda c: c < F.col("v")))
     ranged = marked.select(*keys, "v", "n", "total", below.alias("range"))
     before = Window.partitionBy(*keys).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = ranged.groupBy(*keys, "range").agg(F.sum("n").alias("m")).select(
-        *keys, "range", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("start")
+    starts = ranged.groupBy(*keys, "range").agg(F.sum("n").alias("m"), F.max("total").alias("total")).select(
+        *keys, "range", "m", "total", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("start")
     )
-    placed = ranged.alias("a").join(starts.alias("b"), on & (F.col("a.range") == F.col("b.range")))
+    places = [(F.col("total").cast("double") - 1) * float(q) for q in probs]
+    wanted = [r for place in places for r in (F.floor(place), F.ceil(place))]
+    holds = reduce(lambda x, y: x | y, [(F.col("start") <= r) & (r < F.col("start") + F.col("m")) for r in wanted])
+    needed = starts.filter(holds).select(*keys, "range", "start")
+    placed = ranged.alias("a").join(needed.alias("b"), on & (F.col("a.range") == F.col("b.range")))
     placed = placed.select(*[f"a.{k}" for k in keys], "a.range", "v", "n", "total", "start")
     upto = F.col("start") + F.sum("n").over(Window.partitionBy(*keys, "range").orderBy("v"))
     numbered = placed.withColumn("upto", upto).withColumn("first", F.col("upto") - F.col("n"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from wardflow.sources import footers
 
 
 def period_ledger(expected: DataFrame, landed: DataFrame, in_region: Column) -> DataFrame:
@@ -38,3 +40,12 @@ def collection_status(expected: DataFrame, landed: DataFrame, done: DataFrame, b
         .groupBy(status.alias("status"))
         .agg(F.count("*").alias("periods"))
     )
+
+
+def landed_months(spark: SparkSession, expected: DataFrame, folder: str) -> DataFrame:
+    """Expected months with the rows that landed in ``<folder>/period=<month>``, and a status; only footers are read."""
+    period = F.regexp_extract("path", r"/period=(\d{6})/", 1)
+    counts = footers.row_counts(spark, [folder]).groupBy(period.alias("period")).agg(F.sum("row_count").alias("landed_rows"))
+    rows = expected.select("period").join(counts, "period", "left")
+    status = F.when(F.col("landed_rows").isNull(), "missing").when(F.col("landed_rows") == 0, "empty").otherwise("landed")
+    return rows.select("period", F.coalesce("landed_rows", F.lit(0)).alias("landed_rows"), status.alias("status"))

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -240,6 +241,7 @@ def load(
     """
     run = run or uuid.uuid4().hex
     known, staging = stored_domains(spark), f"{warehouse}/_staging/{run}"
+    seen = store.current(spark, warehouse)
     staged, reports = {}, {}
     for name, spec in SPECS.items():
         if name in inputs:
@@ -253,20 +255,25 @@ def load(
             batch = rows.filter(F.col(REJECT).isNull()).drop(REJECT)
             # The key holds the period, so only the batch's months can change; there are few of them.
             months = [r.period for r in batch.select("period").distinct().collect()]
-            held = store.read(spark, warehouse, name, spec.schema, months)
+            held = store.read(spark, warehouse, name, spec.schema, months, seen)
             merged = batch if held is None else upsert(held.select(*spec.columns), batch, list(spec.key))
-            changes[name] = store.write(merged.select(*spec.columns), warehouse, name, run)
-        store.switch(spark, warehouse, changes)
+            changes[name] = store.write(merged.select(*spec.columns), warehouse, name, run, months)
+        store.switch(spark, warehouse, changes, seen)
     if staged:
         store.discard(spark, staging)
     published = store.current(spark, warehouse)
     return LoadReport(run, reports, {n: sum(m["rows"] for m in published.get(n, {}).values()) for n in SPECS})
 
 
-def load_summary(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows per table."""
-    counts = [t.agg(F.count("*").alias("row_count")).select(F.lit(n).alias("table_name"), "row_count") for n, t in tables.items()]
-    first, *rest = counts
-    for c in rest:
-        first = first.unionByName(c)
-    return first
+def load_summary(raw: dict[str, tuple[DataFrame, TableSpec]]) -> DataFrame:
+    """Rows per table that a load of these raw rows stores, before rejects: one for each complete key.
+
+    Only the key columns are cleaned and counted, as every table keeps one row of a key. What a warehouse holds is told by
+    :func:`wardflow.plans.store.summary` without reading rows.
+    """
+    counts = []
+    for name, (rows, spec) in raw.items():
+        keys = replace(spec, fields=tuple(f for f in spec.fields if f.name in spec.key))
+        distinct = cleaned(rows, keys).select(*spec.key).distinct()
+        counts.append(distinct.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count"))
+    return reduce(DataFrame.unionByName, counts)
