@@ -53,3 +53,18 @@ def test_sketch_error(spark):
 
     worst = spark.range(1, 200000).select(((F.col("id") - quality_rules.bucket(F.col("id"))) / F.col("id")).alias("e")).agg(F.max("e"), F.min("e")).first()
     assert 0 <= worst[1] and worst[0] < 0.02
+
+
+def test_fences_come_from_the_sketch(table):
+    """In groups of constant, spread and rare values the fence follows the values, and each rule can fire."""
+    text = "one two three four five six seven eight nine ten"
+    docs = [(k, f"{text} w{k}", "en", "a") for k in range(300)]
+    docs += [(1000 + k, f"{text} w{k}" + " wow!" * (k % 20), "en", "b") for k in range(300)]
+    docs += [(5000, f"{text} so!", "en", "a"), (5001, f"{text} so!", "en", "b"), (5002, f"{text}\nk l\nk l", "en", "a")]
+    found = {r["doc_id"]: r["failed_rules"] for r in quality_rules.judged(table(docs)).collect()}
+    assert found[0] == "" and "marks" in found[5000] and "marks" not in found[5001] and "dup_lines" in found[5002]
+
+
+def test_many_repeated_lines_fail(spark):
+    found = queries.op1_quality_rules(spark, "/root/testdata/sf0.1").filter("1000 * n_dup_lines > 300 * n_lines and not base_failed")
+    assert found.count() > 5 and found.filter("kept").count() == 0

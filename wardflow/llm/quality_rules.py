@@ -2,10 +2,13 @@
 
 Every document is measured once. The measures of all documents go into quantile sketches per language and source:
 counts per logarithmic bucket with a relative error under two percent, which merge by addition, so the sketch of a
-language is the sum of its sources' and the global one the sum of all. From the quartiles of its sketch each group gets
-fences per rule, and a document is judged by the fences of its own group.
+language is the sum of its sources' and the global one the sum of all. From its own sketch alone each group gets fences
+per rule: a high percentile, and beyond it a multiple of its distance from the median, which is at least the width of the
+sketch's bucket there. So a group in which nearly all documents measure the same has a fence next to that value, and one
+of wide spread has a distant one. A document is judged by the fences of its own group.
 
-A group with few documents uses the sketch of its language, then the global one.
+A percentile is only as good as the documents beyond it. A group with fewer than LEAST_BEYOND of them uses the sketch of its
+language for that rule, then the global one.
 """
 
 from __future__ import annotations
@@ -27,19 +30,19 @@ UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WINDOW = 5
 #: Base rules: least words, and most percent of the words that lie in repeated windows.
 LEAST_WORDS, MOST_REPEATED = 10, 20
-#: Documents that a group needs for thresholds of its own.
-LEAST_GROUP = 50
+#: Documents that a group needs beyond a rule's percentile for a fence of its own.
+LEAST_BEYOND = 5
 #: Bits of a measure that its bucket keeps.
 BUCKET_BITS = 7
-#: Rule: measure per thousand words, interquartile ranges allowed beyond the quartiles, least range, and whether low
-#: values fail too. Word lengths are in hundredths of a code point.
+#: Rule: measure per thousand words, percentile, tenths of its distance from the median that are allowed beyond it, and
+#: whether low values fail too. Word lengths are in hundredths of a code point.
 RULES = {
-    "symbols": ("1000 * n_symbols div n_words", 4, 15, False),
-    "upper": ("1000 * n_upper div greatest(word_chars, 1)", 4, 25, False),
-    "marks": ("1000 * n_marks div n_words", 4, 60, False),
-    "word_length": ("100 * word_chars div n_words", 4, 60, True),
-    "repeated": ("1000 * n_repeat_words div n_words", 4, 40, False),
-    "dup_lines": ("1000 * n_dup_lines div greatest(n_lines, 1)", 4, 100, False),
+    "symbols": ("1000 * n_symbols div n_words", 90, 40, False),
+    "upper": ("1000 * n_upper div greatest(word_chars, 1)", 98, 30, False),
+    "marks": ("1000 * n_marks div n_words", 98, 10, False),
+    "word_length": ("100 * word_chars div n_words", 90, 60, True),
+    "repeated": ("1000 * n_repeat_words div n_words", 98, 20, False),
+    "dup_lines": ("1000 * n_dup_lines div greatest(n_lines, 1)", 98, 10, False),
 }
 
 
@@ -108,11 +111,15 @@ def measured(docs: DataFrame, id_col: str, text_col: str, lang_col: str, source_
     return rows.mapInArrow(measure, kinds + "".join(f", {m} long" for m in MEASURES))
 
 
+def bucket_width(value: Column) -> Column:
+    cut = F.greatest(F.length(F.bin(value)) - BUCKET_BITS, F.lit(0))
+    return F.pow(F.lit(2), cut).cast("long")
+
+
 def bucket(value: Column) -> Column:
     """The lower end of a value's bucket: its leading bits."""
-    cut = F.greatest(F.length(F.bin(value)) - BUCKET_BITS, F.lit(0))
-    scale = F.pow(F.lit(2), cut).cast("long")
-    return F.floor(value / scale).cast("long") * scale
+    width = bucket_width(value)
+    return F.floor(value / width).cast("long") * width
 
 
 def sketches(values: DataFrame) -> DataFrame:
@@ -130,27 +137,37 @@ def sketches(values: DataFrame) -> DataFrame:
     )
 
 
-def fences(held: DataFrame) -> DataFrame:
-    """level, lang, source, rule, group_rows, low, high: the values between which a rule holds."""
+def fences(held: DataFrame, least_beyond: int = LEAST_BEYOND) -> DataFrame:
+    """level, lang, source, rule, group_rows, low, high: the values between which a rule holds, where enough rows tell them."""
     group = ("level", "lang", "source", "rule")
     within = Window.partitionBy(*group)
     running = held.withColumns({"upto": F.sum("n").over(within.orderBy("bucket")), "group_rows": F.sum("n").over(within)})
-    quartiles = running.groupBy(*group, "group_rows").agg(
-        F.min(F.when(4 * F.col("upto") >= F.col("group_rows"), F.col("bucket"))).alias("q1"),
-        F.min(F.when(4 * F.col("upto") >= 3 * F.col("group_rows"), F.col("bucket"))).alias("q3"),
+    rule = F.create_map(
+        *[x for name, (_, p, k, low) in RULES.items() for x in (F.lit(name), F.struct(F.lit(p).alias("p"), F.lit(k).alias("k"), F.lit(low).alias("low")))]
     )
-    rule = F.create_map(*[x for name, (_, k, least, low) in RULES.items() for x in (F.lit(name), F.struct(F.lit(k).alias("k"), F.lit(least).alias("least"), F.lit(low).alias("low")))])
     how = rule[F.col("rule")]
-    reach = how["k"] * F.greatest(F.col("q3") - F.col("q1"), how["least"])
-    return quartiles.select(*group, "group_rows", F.when(how["low"], F.col("q1") - reach).alias("low"), (F.col("q3") + reach).alias("high"))
+
+    def percentile(p: Column) -> Column:
+        return F.min(F.when(100 * F.col("upto") >= p * F.col("group_rows"), F.col("bucket")))
+
+    marks = running.groupBy(*group, "group_rows").agg(
+        percentile(100 - how["p"]).alias("below"), percentile(F.lit(50)).alias("middle"), percentile(how["p"]).alias("above")
+    )
+
+    def reach(end: Column) -> Column:
+        return F.floor(how["k"] * F.greatest(F.abs(end - F.col("middle")), bucket_width(end)) / 10).cast("long")
+
+    below, above = F.col("below"), F.col("above")
+    told = (F.col("level") == 2) | (F.col("group_rows") * (100 - how["p"]) >= 100 * least_beyond)
+    return marks.filter(told).select(*group, "group_rows", F.when(how["low"], below - reach(below)).alias("low"), (above + reach(above)).alias("high"))
 
 
 def judged(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", least_group: int = LEAST_GROUP
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", least_beyond: int = LEAST_BEYOND
 ) -> DataFrame:
     """One row per row of docs: doc_id, the measures, base_failed, kept, failed_rules, threshold_level.
 
-    threshold_level is 0, 1 or 2 for fences of language and source, language, or all; null for documents without words,
+    threshold_level is 0, 1 or 2 if the finest of a row's fences is that of language and source, language, or all; null for documents without words,
     which fail the base rules, as null texts do. Null languages and sources are groups like any other. Only documents
     that pass the base rules shape the thresholds. Rows that repeat are judged alike; an empty table gives no rows.
     """
@@ -163,11 +180,11 @@ def judged(
     values = base.filter(~F.col("base_failed")).select(
         "lang", "source", F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), v.alias("value")) for r, v in value.items()])).alias("v")
     )
-    limits = fences(sketches(values.select("lang", "source", "v.rule", "v.value")))
+    limits = fences(sketches(values.select("lang", "source", "v.rule", "v.value")), least_beyond)
     wide = limits.groupBy("level", "lang", "source").agg(
-        F.max("group_rows").alias("group_rows"), *[F.max(F.when(F.col("rule") == r, F.struct("low", "high"))).alias(r) for r in RULES]
+        *[F.max(F.when(F.col("rule") == r, F.struct("low", "high"))).alias(r) for r in RULES]
     )
-    wide = checkpointed(wide.filter((F.col("level") == 2) | (F.col("group_rows") >= least_group)))
+    wide = checkpointed(wide)
     fine, lang = (wide.filter(F.col("level") == k).alias(f"l{k}") for k in range(2))
     every = wide.filter(F.col("level") == 2).select(F.struct("level", *RULES)).scalar()
     joined = (

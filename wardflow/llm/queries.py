@@ -158,13 +158,22 @@ bucketed AS (
 sketches AS (
   SELECT 0 AS level, lang, source, rule, bucket FROM bucketed UNION ALL SELECT 1, lang, NULL, rule, bucket FROM bucketed
   UNION ALL SELECT 2, NULL, NULL, rule, bucket FROM bucketed),
-quartiles AS (
-  SELECT level, lang, source, rule, COUNT(*) AS n, quantile_disc(bucket, 0.25) AS q1, quantile_disc(bucket, 0.75) AS q3
-  FROM sketches GROUP BY ALL HAVING level = 2 OR COUNT(*) >= {quality_rules.LEAST_GROUP}),
+counted AS (
+  SELECT level, lang, source, rule, bucket, COUNT(*) AS n, (1::BIGINT << greatest(length(bin(bucket)) - 7, 0)::BIGINT) AS width
+  FROM sketches GROUP BY ALL),
+running AS (
+  SELECT *, sum(n) OVER (w ORDER BY bucket) AS upto, sum(n) OVER w AS rows FROM counted WINDOW w AS (PARTITION BY level, lang, source, rule)),
+ends AS (
+  SELECT level, lang, source, r.rule AS rule, k, two_sided,
+         arg_min({{'v': bucket, 'w': width}}, bucket) FILTER (100 * upto >= (100 - p) * rows) AS below,
+         min(bucket) FILTER (100 * upto >= 50 * rows) AS middle,
+         arg_min({{'v': bucket, 'w': width}}, bucket) FILTER (100 * upto >= p * rows) AS above
+  FROM running r JOIN (VALUES {limits}) l(rule, p, k, two_sided) ON l.rule = r.rule
+  WHERE level = 2 OR rows * (100 - p) >= 100 * {quality_rules.LEAST_BEYOND} GROUP BY ALL),
 fences AS (
-  SELECT level, lang, source, q.rule AS rule, CASE WHEN two_sided THEN q1 - k * greatest(q3 - q1, least_range) END AS low,
-         q3 + k * greatest(q3 - q1, least_range) AS high
-  FROM quartiles q JOIN (VALUES {limits}) l(rule, k, least_range, two_sided) ON l.rule = q.rule),
+  SELECT level, lang, source, rule, CASE WHEN two_sided THEN below.v - k * greatest(abs(below.v - middle), below.w) // 10 END AS low,
+         above.v + k * greatest(abs(above.v - middle), above.w) // 10 AS high
+  FROM ends),
 chosen AS (
   SELECT r, v.rule AS rule, v, arg_min(f.level, f.level) AS level,
          arg_min({{'low': low, 'high': high}}, f.level) AS fence
