@@ -1,7 +1,10 @@
 """The compression classifier: held-out accuracy and edge cases."""
 
+import math
 import zlib
 
+import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from wardflow.llm import compression, queries
@@ -38,3 +41,32 @@ def test_edges(spark, table):
 def test_reruns_agree(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
     assert queries.quality_model(docs, labels) == queries.quality_model(docs.repartition(5), labels.repartition(3))
+
+
+def test_scores_by_the_library_itself(spark, sf_dir):
+    """Every score from blocks compressed one by one with fresh compressors, and the logistic function of its weights."""
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    model = queries.quality_model(docs, labels)
+    found = {r["doc_id"]: r["score"] for r in queries.op2_compression_classifier(spark, sf_dir).collect()}
+    for doc_id, text in docs.select("doc_id", "text").collect()[::7]:
+        raw, sizes = (text or "").encode(), []
+        for held in (model.good, model.bad):
+            own = zstandard.ZstdCompressionDict(held)
+            blocks = [raw[k : k + 1024] for k in range(0, len(raw), 1024)]
+            made = [zstandard.ZstdCompressor(level=3, dict_data=own, write_content_size=False, write_dict_id=False).compress(b) for b in blocks]
+            back = zstandard.ZstdDecompressor(dict_data=own)
+            assert b"".join(back.decompress(m, max_output_size=1024) for m in made) == raw
+            sizes.append(sum(map(len, made)))
+        d, short = (sizes[1] - sizes[0]) / len(raw), len(raw) ** -0.5
+        z = sum(w * x for w, x in zip(model.weights, (1, 20 * d, 10 * short, 200 * d * short)))
+        assert found[doc_id] == pytest.approx(1 / (1 + math.exp(-max(-30, min(30, z)))))
+
+
+def test_sample_is_that_of_the_smallest_hashes(spark):
+    from wardflow.llm.shared import first_by_hash
+
+    keys = spark.range(30000).select(F.col("id").alias("key"), (F.col("id") % 100 == 0).cast("int").alias("label"))
+    chosen = first_by_hash(keys, 400).collect()
+    for label, count in ((0, 400), (1, 300)):
+        best = [r[0] for r in keys.filter(F.col("label") == label).orderBy(F.xxhash64("key")).limit(400).collect()]
+        assert [r["key"] for r in sorted(chosen, key=lambda r: r["n"]) if r["label"] == label] == best and len(best) == count

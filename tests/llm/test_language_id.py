@@ -49,3 +49,37 @@ def test_edges(table):
     assert [f[1] for f in found] == ["en", "und", "und", "und", "de", "de"] and all(0 <= f[2] <= 1 for f in found)
     assert language_id.predicted(table([]), net).count() == 0
     assert language_id.predicted(odd, language_id.fit(table([]))).filter("lang_pred <> 'und'").count() == 0
+
+
+def test_forward_pass_by_loops():
+    """Every position and gate computed one by one, over blocks of a text, in both directions."""
+    net = language_id.fresh(["a", "b", "c"], hidden=3, seed=5)
+    raw = ("Grüße, world! " * 9).encode()[:100]
+
+    def logistic(x):
+        return 1 / (1 + np.exp(-x))
+
+    def states(block, d):
+        table, recurrent, h, out = net.table[d], net.recurrent[d], [0.0] * 3, {}
+        for t in reversed(range(len(block))) if d else range(len(block)):
+            g = [sum(recurrent[k][j] * h[j] for j in range(3)) for k in range(9)]
+            x = [table[k][block[t]] for k in range(9)]
+            z, r = [logistic(x[k] + g[k]) for k in range(3)], [logistic(x[3 + k] + g[3 + k]) for k in range(3)]
+            n = [np.tanh(x[6 + k] + r[k] * g[6 + k]) for k in range(3)]
+            h = [z[k] * h[k] + (1 - z[k]) * n[k] for k in range(3)]
+            out[t] = h
+        return out
+
+    total = np.zeros(3)
+    for block, used in zip(language_id.as_blocks(raw).tolist(), (64, 36)):
+        ways = [states(block, d) for d in range(2)]
+        for t in range(used):
+            scores = [sum(w * s for w, s in zip(net.head[c], ways[0][t] + ways[1][t])) + net.bias[c][0] for c in range(3)]
+            total += np.exp(scores) / np.exp(scores).sum()
+    assert np.allclose(language_id.pooled(net, [raw])[0], total / total.sum(), atol=1e-4)
+
+
+def test_letters(table):
+    texts = ["²½①", "Ⅷ ٣", "12 _-!", "x", "日", "é", "́", "a1"]
+    found = language_id.predicted(table(list(enumerate(texts))), language_id.fresh(["aa", "bb"])).collect()
+    assert [r["lang_pred"] == "und" for r in sorted(found, key=lambda r: r["doc_id"])] == [True, True, True, False, False, False, True, False]

@@ -18,12 +18,12 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .shared import checkpointed
+from .shared import first_by_hash
 
-#: Labelled rows of each class that are learnt from, at most, and bytes of a text that are.
-SAMPLE_ROWS, SAMPLE_BYTES = 1500, 8192
+#: Labelled rows of each class that are learnt from, at most, and characters of a text that go into a dictionary, unless
+#: fit() is told otherwise.
+SAMPLE_ROWS, SAMPLE_CHARS = 1500, 8192
 #: Bytes of a dictionary, and of the blocks that texts are cut into.
 DICTIONARY_BYTES, BLOCK = 65536, 1024
 LEVEL = 3
@@ -87,38 +87,58 @@ def probability(weights: tuple[float, ...], x: tuple[float, ...]) -> float:
     return 1 / (1 + math.exp(-max(-30.0, min(30.0, sum(a * b for a, b in zip(weights, x))))))
 
 
-def learn(good: list[bytes], bad: list[bytes]) -> Model:
-    """Dictionaries from the even rows, calibration from the odd ones; without both classes every score is 0.5."""
-    if not good or not bad:
-        return Model(b"\0" * 8, b"\0" * 8, (0.0,) * 4)
-    model = Model(dictionary(good[::2]), dictionary(bad[::2]), ())
-    held = [(t, 1.0) for t in (good[1::2] or good)] + [(t, 0.0) for t in (bad[1::2] or bad)]
-    x = np.array([inputs(*features(t, model.good, model.bad)) for t, _ in held])
-    return Model(model.good, model.bad, tuple(map(float, calibrated(x, np.array([y for _, y in held])))))
+def joined_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows: int) -> DataFrame:
+    """label, key, n and text of the labelled documents that are learnt from."""
+    key = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("key")).agg(F.max(label_col).alias("label"))
+    chosen = first_by_hash(key, rows)
+    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    joined = own.join(F.broadcast(chosen), F.col("doc_id") == F.col("key")).filter(F.length("text") > 0)
+    return joined.select(F.col("label").cast("int").alias("label"), "key", "n", "text")
+
+
+def measured(sample: DataFrame, good: bytes, bad: bytes) -> DataFrame:
+    """label, difference and shortness of whole texts."""
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [features(t.as_py().encode(), good, bad) for t in batch.column(1)]
+            columns = [pa.array([f[k] for f in found], pa.float64()) for k in range(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["label", "difference", "shortness"])
+
+    return sample.select("label", "text").mapInArrow(measure, "label int, difference double, shortness double")
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", rows: int = SAMPLE_ROWS
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "quality",
+    rows: int = SAMPLE_ROWS,
+    chars: int = SAMPLE_CHARS,
 ) -> Model:
     """Learns from at most `rows` labelled documents of each class, those of the smallest hashes of their keys.
 
     labels holds keys and classes 1 and 0. Rows without key, class or text are not learnt from; a key labelled twice
-    counts by its larger class. Of a long text, a window at a place given by its hash is taken.
+    counts by its larger class. Every second document goes into a dictionary: of a long text `chars` characters, at a place
+    given by its hash. The others, as whole texts that their tasks measure, calibrate the score; if a class has none, those of
+    the dictionaries do. Without both classes every score is 0.5.
     """
-    key = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("key")).agg(F.max(label_col).alias("label"))
-    order = Window.partitionBy("label").orderBy(F.xxhash64("key"), "key")
-    chosen = checkpointed(key.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= rows).select("key", "label"))
-    rows_of = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    text = F.col("text")
-    start = F.pmod(F.xxhash64("key"), F.greatest(F.length(text) - SAMPLE_BYTES + 1, F.lit(1))) + 1
-    taken = (
-        rows_of.join(F.broadcast(chosen), F.col("doc_id") == F.col("key"))
-        .filter(F.length(text) > 0)
-        .select("label", "key", F.substring(text, start.cast("int"), F.lit(SAMPLE_BYTES)).alias("window"))
-    )
-    found = taken.orderBy(F.xxhash64("key"), "key", "window").limit(2 * rows).collect()
-    by_class = [[r["window"].encode() for r in found if r["label"] == c] for c in (1, 0)]
-    return learn(*by_class)
+    sample = joined_sample(docs, labels, id_col, text_col, label_col, rows)
+    text, in_dictionary = F.col("text"), F.col("n") % 2 == 1
+    start = F.pmod(F.xxhash64("key"), F.greatest(F.length(text) - chars + 1, F.lit(1))) + 1
+    windows = sample.filter(in_dictionary).select("label", "key", F.substring(text, start.cast("int"), F.lit(chars)).alias("window"))
+    found = windows.orderBy(F.xxhash64("key"), "key", "window").limit(2 * rows).collect()
+    good, bad = ([r["window"].encode() for r in found if r["label"] == c] for c in (1, 0))
+    if not good or not bad:
+        return Model(b"\0" * 8, b"\0" * 8, (0.0,) * 4)
+    good, bad = dictionary(good), dictionary(bad)
+    held = measured(sample.filter(~in_dictionary), good, bad).limit(2 * rows).collect()
+    if len({r["label"] for r in held}) < 2:
+        held += measured(sample.filter(in_dictionary), good, bad).limit(2 * rows).collect()
+    held = sorted(map(tuple, held))
+    x = np.array([inputs(*f) for _, *f in held])
+    return Model(good, bad, tuple(map(float, calibrated(x, np.array([float(y) for y, *_ in held])))))
 
 
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

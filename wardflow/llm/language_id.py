@@ -6,26 +6,25 @@ probabilities is the text's. It is trained here, in numpy, by backpropagation th
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .shared import checkpointed
+from .shared import first_by_hash
 
 #: Label of texts that are null or have no letter.
 UNDETERMINED = "und"
 #: Hidden units of a direction, bytes of a block, blocks computed together.
 HIDDEN, BLOCK, TOGETHER = 8, 64, 2048
-#: Rows of each language learnt from, at most, and characters of each.
+#: Rows of each language learnt from, at most, and characters of each, unless fit() is told otherwise.
 SAMPLE_ROWS, SAMPLE_CHARS = 400, 480
 EPOCHS, BATCH, RATE, SEED = 4, 128, 0.02, 11
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 
 @dataclass
@@ -196,22 +195,29 @@ def pooled(net: Network, texts: list[bytes]) -> np.ndarray:
     return np.where(total > 0, sums / np.maximum(total, 1e-30), 1 / max(1, len(net.labels)))
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = SAMPLE_ROWS) -> Network:
+def fit(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    rows: int = SAMPLE_ROWS,
+    chars: int = SAMPLE_CHARS,
+) -> Network:
     """Trains on at most `rows` rows of each language, those with the smallest hashes of their keys.
 
-    Of each, SAMPLE_CHARS characters at a place given by the hash are learnt from. Rows without key, language or text
-    teach nothing. The keys are chosen first, from two narrow columns, and the texts of the chosen ones fetched then.
+    Of each, `chars` characters at a place given by the hash are learnt from, which bounds the steps that gradients go back.
+    Rows without key, language or text teach nothing. The keys are chosen first, from two narrow columns, and the texts
+    of the chosen ones fetched then.
     """
-    order = Window.partitionBy("label").orderBy(F.xxhash64("key"), "key")
     keys = docs.filter(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("key"), F.col(lang_col).alias("label"))
-    chosen = checkpointed(keys.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= rows).select("key", "label").distinct())
+    chosen = first_by_hash(keys, rows).select("key", "label").distinct()
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     text = F.col("text")
-    start = F.pmod(F.xxhash64("key"), F.greatest(F.length(text) - SAMPLE_CHARS + 1, F.lit(1))) + 1
+    start = F.pmod(F.xxhash64("key"), F.greatest(F.length(text) - chars + 1, F.lit(1))) + 1
     taken = (
         own.join(F.broadcast(chosen), (F.col("doc_id") == F.col("key")) & (F.col("lang") == F.col("label")))
         .filter(F.length(text) > 0)
-        .select("label", "key", F.substring(text, start.cast("int"), F.lit(SAMPLE_CHARS)).alias("window"))
+        .select("label", "key", F.substring(text, start.cast("int"), F.lit(chars)).alias("window"))
     )
     most = 2 * rows * max(1, chosen.select("label").distinct().count())
     found = taken.orderBy(F.xxhash64("key"), "key", "label", "window").limit(most).collect()

@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: A word of every text measure: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -54,6 +55,19 @@ def fold_number(key: Column, folds: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % folds, F.lit(0))
 
 
+def first_by_hash(keys: DataFrame, rows: int) -> DataFrame:
+    """key, label and n of the rows with the smallest hashes of their keys, `rows` of each label at most; n counts from 1.
+
+    Rows whose hashes are beyond twice the share that is wanted of their label are dropped where they are read, so that only
+    about 2 * rows of each label are sorted, however many it has.
+    """
+    sizes = keys.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
+    placed = F.xxhash64("key").cast("double") / 2.0**64 + 0.5
+    some = keys.join(sizes, "label").filter(placed * F.col("size") <= 2 * rows)
+    order = Window.partitionBy("label").orderBy(F.xxhash64("key"), "key")
+    return checkpointed(some.select("key", "label", F.row_number().over(order).alias("n")).filter(F.col("n") <= rows))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
