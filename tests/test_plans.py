@@ -9,7 +9,10 @@ import __spark_entry__ as entry
 CORPUS = {*entry.corpus.QUERIES, "pipeline"} if entry.corpus else set()
 QUERIES = {k: v for k, v in entry.queries().items() if k not in CORPUS}
 # Queries that write and read tables before they return.
-EAGER = {"incremental_ingest", "load_report", "load_rejects", "ingest_drifting_files", "dedup_keep_last"}
+EAGER = {
+    "incremental_ingest", "load_report", "load_rejects", "ingest_drifting_files", "dedup_keep_last", "footer_ledger", "refreshed_occupancy",
+    "view_occupancy_month", "view_length_of_stay_month", "view_admissions_month", "view_network_kpis", "warehouse_summary", "warehouse_months",
+}
 LAZY = sorted(set(QUERIES) - EAGER)
 
 

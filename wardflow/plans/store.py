@@ -11,7 +11,9 @@ import json
 import time
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from wardflow.sources import footers
 
 POINTER = "_current.json"
 
@@ -125,27 +127,35 @@ def read(
 def write(rows: DataFrame, warehouse: str, table: str, run: str, months: list[str]) -> dict[str, dict]:
     """Writes a load's months beside the published ones and returns their entries for the pointer.
 
-    ``months`` are those that the rows can have; their rows are counted while they are written. Repeating a load replaces
-    what an earlier attempt of the same name has left.
+    ``months`` are those that the rows can have; how many each has is told by the footers of the files written. Repeating a
+    load replaces what an earlier attempt of the same name has left.
     """
-    counted = Observation()
-    counts = [F.count_if(F.col("period") == m).alias(f"m{k}") for k, m in enumerate(months)]
     if not months:
         return {}
+    spark, root = rows.sparkSession, f"{warehouse}/{table}"
+    folders = {m: f"{root}/period={m}/run={run}" for m in months}
     (
-        rows.observe(counted, *counts)
-        .withColumn("run", F.lit(run))
+        rows.withColumn("run", F.lit(run))
         .hint("rebalance", "period")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("period", "run")
-        .parquet(f"{warehouse}/{table}")
+        .parquet(root)
     )
-    found = {m: counted.get[f"m{k}"] for k, m in enumerate(months)}
-    return {m: {"run": run, "rows": n} for m, n in found.items()}
+    made = [f for f in folders.values() if exists(spark, f)]
+    found = {}
+    if made:
+        period = F.regexp_extract("path", "/period=([^/]*)/run=", 1)
+        found = dict(footers.row_counts(spark, made).groupBy(period).agg(F.sum("row_count")).collect())
+    return {m: {"run": run, "rows": found.get(m, 0)} for m in months}
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    made, fs = _path(spark, path)
+    return fs.exists(made)
 
 
 def discard(spark: SparkSession, path: str) -> None:
-    """Removes a staging folder of a finished load."""
+    """Removes a folder, such as the staging folder of a finished load, if it is there."""
     made, fs = _path(spark, path)
     fs.delete(made, True)
