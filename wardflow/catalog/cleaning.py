@@ -214,17 +214,17 @@ def scratch(spark) -> str:
 
 def _incremental_ingest(spark, d):
     """Streams the claim file into a scratch warehouse and returns the resulting table."""
-    scratch = scratch(spark)
+    folder = scratch(spark)
     ingest_new_files(
         spark,
         f"{d}/lineitem.parquet",
         tb.table(spark, d, "lineitem").schema,
         ADMISSION,
-        f"{scratch}/warehouse",
-        f"{scratch}/progress",
+        f"{folder}/warehouse",
+        f"{folder}/progress",
         lambda batch: load.consolidate_admissions(tb.raw_admissions(tb.admissions(spark, d, lineitem=batch))),
     ).awaitTermination()
-    return store.read(spark, f"{scratch}/warehouse", "admission", ADMISSION.schema)
+    return store.read(spark, f"{folder}/warehouse", "admission", ADMISSION.schema)
 
 
 LANDED_BED = {
