@@ -74,3 +74,13 @@ def test_shares_take_one_scan_of_the_claims(spark, tmp_path):
 def test_rows_are_not_sorted_before_their_shuffle(spark, sf_dir):
     text = plan(QUERIES["dedup_max_sequence"](spark, sf_dir)).split("== Initial Plan ==")[-1]
     assert "SortAggregate" not in text and "WindowGroupLimit" not in text
+
+
+def test_rows_made_of_a_small_table_do_not_stay_in_one_task(spark, tmp_path):
+    from wardflow import testbed as tb
+
+    rows = spark.range(5_000).selectExpr("id + 1 AS s_suppkey", "concat('S', id) AS s_name", "7L AS s_nationkey")
+    rows.coalesce(1).write.parquet(str(tmp_path / "supplier.parquet"))
+    for made in (tb.raw_beds(spark, str(tmp_path)), tb.facilities(spark, str(tmp_path))):
+        counts = made.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+        assert len(counts) > 1 and max(counts) < 2 * tb.MADE_PER_TASK

@@ -21,11 +21,24 @@ SETTINGS = Settings(scope=SCOPE)
 # Several specialties share a bed type, so that a stay can change its specialty and keep its type.
 BRIDGE = [("01", "1"), ("02", "1"), ("03", "2"), ("04", "2")]
 
+#: Rows that one task makes out of the suppliers it holds.
+MADE_PER_TASK = 50_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame, key: str, each: int) -> DataFrame:
+    """Rows over as many tasks as what is made of them needs, where every row is about to become ``each`` rows.
+
+    A table of few megabytes is read by one task, and what is made of it would stay there; the number of rows comes from the
+    footers. A table that one task can serve stays as it is.
+    """
+    tasks = -(-rows.count() * each // MADE_PER_TASK)
+    return rows.repartition(tasks, key) if tasks > 1 else rows
+
+
 def _padded(c, width: int):
     return F.lpad(c.cast("string"), width, "0")
 
@@ -110,7 +123,7 @@ def _bed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     s, t, c = F.col("s_suppkey"), F.col("t"), F.col("c")
     load = (s * 7 + t * 3 + c) % 9
     return (
-        table(spark, sf_dir, "supplier")
+        spread(table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey", 6 * len(SCOPE.periods))
         .select("s_suppkey", F.explode(_scope_months()).alias("month_start"))
         .withColumn("m_idx", _month_index("month_start"))
         .filter(((s % 11 != 0) | (F.col("m_idx") < 9)) & ((s + F.col("m_idx")) % 17 != 0))
@@ -141,7 +154,7 @@ def beds(spark: SparkSession, sf_dir: str) -> DataFrame:
 def facilities(spark: SparkSession, sf_dir: str) -> DataFrame:
     s, m = F.col("s_suppkey"), F.col("m_idx")
     return (
-        table(spark, sf_dir, "supplier")
+        spread(table(spark, sf_dir, "supplier"), "s_suppkey", len(SCOPE.periods))
         .select("*", F.explode(_scope_months()).alias("month_start"))
         .withColumn("m_idx", _month_index("month_start"))
         .filter((s % 9 != 4) & (m % 3 != 1))
