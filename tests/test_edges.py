@@ -329,3 +329,14 @@ def test_period_filter_reaches_specialty_reports(spark):
     (row,) = dashboard.specialty_deviation(w, settings, codes).collect()
     assert (row.registered, row.attended) == (10 * 61, 6)
     assert one(dashboard.stay_by_specialty(w, settings), "stays") == [2]
+
+
+def test_missing_texts_are_told_by_the_raw_value(spark):
+    raw = [None, "", " ", "\t\xa0", "　\n", "a", " a ", "\xa0.0", "\x7f", "é"]
+    df = spark.createDataFrame([(v,) for v in raw], "v string")
+    assert one(df.select((tx.has_text("v") == tx.text("v").isNotNull()).alias("same")), "same") == [True] * len(raw)
+
+
+def test_line_ends_are_no_part_of_numbers_and_dates(spark):
+    df = spark.createDataFrame([("5\n.0", "20200101\n"), ("12.0", "20200229"), ("n/d", "20190229")], "n string, d string")
+    assert [tuple(r) for r in df.select(tx.integer("n"), tx.day("d")).collect()] == [(None, None), (12, date(2020, 2, 29)), (None, None)]

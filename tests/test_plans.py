@@ -84,3 +84,9 @@ def test_rows_made_of_a_small_table_do_not_stay_in_one_task(spark, tmp_path):
     for made in (tb.raw_beds(spark, str(tmp_path)), tb.facilities(spark, str(tmp_path))):
         counts = made.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
         assert len(counts) > 1 and max(counts) < 2 * tb.MADE_PER_TASK
+
+
+def test_cleaning_is_not_repeated_for_missing_keys(spark, sf_dir):
+    for name in ("clean_admissions", "clean_beds", "load_summary"):
+        filters = [line for line in plan(QUERIES[name](spark, sf_dir)).splitlines() if "Filter" in line]
+        assert filters and not any("transform(" in line for line in filters), name

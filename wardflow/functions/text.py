@@ -22,14 +22,20 @@ def _col(c) -> Column:
 def text(c) -> Column:
     """Text without surrounding white space (tabs and no-break spaces too); empty becomes null.
 
-    Most values are done after the plain trim: a first and a last character between ``!`` and
-    ``~`` need no look at the long list of white space characters.
+    Most values pass as they are: a first and a last character between ``!`` and ``~``, told by comparing bytes, need no
+    look at the long list of white space characters.
     """
-    t = F.trim(_col(c).cast("string"))
-    plain = F.ascii(t).between(33, 126) & F.ascii(F.substring(t, -1, 1)).between(33, 126)
+    t = _col(c).cast("string")
+    last = F.substring(t, -1, 1)
+    plain = (t >= "!") & (t < "\x7f") & (last >= "!") & (last < "\x7f")
     return F.when(plain, t).otherwise(F.nullif(F.btrim(t, F.lit(WHITE_SPACE)), F.lit("")))
 
 
+def has_text(c) -> Column:
+    """True where :func:`text` is not null."""
+    return F.coalesce(F.ltrim(_col(c).cast("string"), F.lit(WHITE_SPACE)) != "", F.lit(False))
+
+
 def zero_fill(c, width: int) -> Column:
     """Left-pad with zeros up to ``width``; unlike a bare ``lpad`` never cuts a longer value."""
     c = _col(c)
@@ -39,7 +45,7 @@ def zero_fill(c, width: int) -> Column:
 def without_fraction(c) -> Column:
     """Drops the ``.0`` that a float column leaves behind an identifier."""
     c = _col(c)
-    return F.when(F.endswith(c, F.lit(".0")), F.regexp_replace(c, r"\.0$", "")).otherwise(c)
+    return F.when(F.endswith(c, F.lit(".0")), F.substring(c, F.lit(1), F.length(c) - 2)).otherwise(c)
 
 
 def code(c, width: int | None = None) -> Column:
@@ -70,9 +76,9 @@ def whole(t) -> Column:
     Patterns decide first which cast cannot fail: a failing ``try_cast`` costs an exception per row.
     """
     t = _col(t)
-    n = t.cast("double")
+    n, plain = t.cast("double"), without_fraction(t)
     fits = (n == F.floor(n)) & (F.abs(n) < 2**31)
-    return F.when(t.rlike(r"^[+-]?[0-9]{1,9}$"), t.cast("int")).when(
+    return F.when(plain.rlike(r"^[+-]?[0-9]{1,9}\z"), plain.cast("int")).when(
         t.rlike(NUMBER), F.when(fits, n.cast("int"))
     )
 
@@ -97,8 +103,9 @@ def day(c, pattern: str = "yyyyMMdd") -> Column:
     month = {"yyyyMMdd": 5, "yyyy-MM-dd": 6}.get(pattern)
     if month is None:
         return F.try_to_date(t, pattern)
-    shape = r"^[0-9]{4}(0[1-9]|1[0-2])(0[1-9]|[12][0-9]|3[01])$" if month == 5 else r"^[0-9]{4}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])$"
-    return F.when(t.rlike(shape), F.try_to_date(t, pattern))
+    shape = r"^[0-9]{4}(0[1-9]|1[0-2])(0[1-9]|[12][0-9]|3[01])\z" if month == 5 else r"^[0-9]{4}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])\z"
+    iso = F.concat_ws("-", F.substring(t, 1, 4), F.substring(t, 5, 2), F.substring(t, 7, 2)) if month == 5 else t
+    return F.when(t.rlike(shape), iso.try_cast("date"))
 
 
 def without_sentinels(c, *sentinels: str) -> Column:

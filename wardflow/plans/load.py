@@ -57,8 +57,16 @@ def consolidate_facilities(raw: DataFrame) -> DataFrame:
 
 
 def cleaned(raw: DataFrame, spec: TableSpec, carry: list[str] | None = None) -> DataFrame:
-    """Warehouse columns of the raw rows that have a complete key; ``carry`` columns come along."""
-    return checks.drop_null_keys(typed(raw, spec, carry), list(spec.key))
+    """Warehouse columns of the raw rows that have a complete key; ``carry`` columns come along.
+
+    Whether a text is missing is told by the raw rows: Spark would move a condition on cleaned columns below the cleaning
+    and clean every row of it once more.
+    """
+    keys = [f for f in spec.fields if f.name in spec.key]
+    texts = [f for f in keys if f.kind not in ("integer", "date")]
+    whole = raw.filter(reduce(lambda a, b: a & b, [tx.has_text(f.source) for f in texts], F.lit(True)))
+    others = [f.name for f in keys if f not in texts]
+    return checks.drop_null_keys(typed(whole, spec, carry), others) if others else typed(whole, spec, carry)
 
 
 def typed(raw: DataFrame, spec: TableSpec, carry: list[str] | None = None) -> DataFrame:
