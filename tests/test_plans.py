@@ -4,6 +4,8 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
 
 CORPUS = {*entry.corpus.QUERIES, "pipeline"} if entry.corpus else set()
@@ -90,3 +92,17 @@ def test_cleaning_is_not_repeated_for_missing_keys(spark, sf_dir):
     for name in ("clean_admissions", "clean_beds", "load_summary"):
         filters = [line for line in plan(QUERIES[name](spark, sf_dir)).splitlines() if "Filter" in line]
         assert filters and not any("transform(" in line for line in filters), name
+
+
+def test_values_of_one_column_do_not_meet_in_one_task(spark):
+    from wardflow.operators import profile
+
+    df = spark.range(20_000).select(F.col("id").alias("k"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(profile.ranked_percentiles(profile.value_counts(df.withColumn("c", F.lit("k")), "k", ["c"]), ["c"], [0.5], few_groups=True))
+        whole = plan(profile.describe(df, ["k"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in text
+    assert whole.count("SortMergeJoin") == 1  # the moments of a column with its percentiles, one row each

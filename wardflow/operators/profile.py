@@ -159,17 +159,19 @@ def weighted_percentiles(probs) -> Column:
     return F.percentile("v", F.array(*[F.lit(float(p)) for p in probs]), F.col("n"))
 
 
-def ranked_percentiles(counts: DataFrame, keys: list[str], probs, ranges: int = RANGES) -> DataFrame:
+def ranked_percentiles(counts: DataFrame, keys: list[str], probs, ranges: int = RANGES, few_groups: bool = False) -> DataFrame:
     """``keys`` and ``p``, the interpolated percentiles of ``v`` with weight ``n``, found by rank.
 
-    More ``ranges`` make each smaller, for columns of very many distinct values.
+    More ``ranges`` make each smaller, for columns of very many distinct values. ``few_groups`` is for keys whose number a
+    parameter bounds: their marks are broadcast, as a join by shuffle would put a group's values into one task.
     """
+    small = F.broadcast if few_groups else (lambda df: df)
     cuts = F.approx_percentile("v", F.array(*[F.lit(k / ranges) for k in range(1, ranges)])).alias("cuts")
     same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
     on = reduce(lambda x, y: x & y, same, F.lit(True))
     marks = counts.groupBy(*keys).agg(cuts, F.sum("n").alias("total"))
     if keys:
-        marked = counts.alias("a").join(marks.alias("b"), on).select(*[f"a.{k}" for k in keys], "v", "n", "total", "cuts")
+        marked = counts.alias("a").join(small(marks).alias("b"), on).select(*[f"a.{k}" for k in keys], "v", "n", "total", "cuts")
     else:
         whole = marks.select(F.struct("total", "cuts")).scalar()
         marked = counts.select("v", "n", whole["total"].alias("total"), whole["cuts"].alias("cuts"))
@@ -183,7 +185,7 @@ def ranked_percentiles(counts: DataFrame, keys: list[str], probs, ranges: int =
     wanted = [r for place in places for r in (F.floor(place), F.ceil(place))]
     holds = reduce(lambda x, y: x | y, [(F.col("start") <= r) & (r < F.col("start") + F.col("m")) for r in wanted])
     needed = starts.filter(holds).select(*keys, "range", "start")
-    placed = ranged.alias("a").join(needed.alias("b"), on & (F.col("a.range") == F.col("b.range")))
+    placed = ranged.alias("a").join(small(needed).alias("b"), on & (F.col("a.range") == F.col("b.range")))
     placed = placed.select(*[f"a.{k}" for k in keys], "a.range", "v", "n", "total", "start")
     upto = F.col("start") + F.sum("n").over(Window.partitionBy(*keys, "range").orderBy("v"))
     numbered = placed.withColumn("upto", upto).withColumn("first", F.col("upto") - F.col("n"))
@@ -200,10 +202,10 @@ def ranked_percentiles(counts: DataFrame, keys: list[str], probs, ranges: int =
     return numbered.groupBy(*keys).agg(*ends).select(*keys, F.array(*made).alias("p"))
 
 
-def percentiles_of(counts: DataFrame, keys: list[str], probs, few_values: bool) -> DataFrame:
+def percentiles_of(counts: DataFrame, keys: list[str], probs, few_values: bool, few_groups: bool = False) -> DataFrame:
     if few_values:
         return counts.groupBy(*keys).agg(weighted_percentiles(probs).alias("p"))
-    return ranked_percentiles(counts, keys, probs)
+    return ranked_percentiles(counts, keys, probs, few_groups=few_groups)
 
 
 def _moments() -> list[Column]:
@@ -246,7 +248,7 @@ def describe(
         sketch = F.approx_percentile("v", F.array(*[F.lit(float(p)) for p in probs]))
         percentiles = long.groupBy("column_name").agg(sketch.alias("p"))
     else:
-        percentiles = percentiles_of(counts, ["column_name"], probs, few_values)
+        percentiles = percentiles_of(counts, ["column_name"], probs, few_values, few_groups=True)
     if narrow:
         moments = counts.groupBy("column_name").agg(*_moments())
         std = deviation("n_values", "sum_v", "squares", sample=True)
