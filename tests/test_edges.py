@@ -340,3 +340,22 @@ def test_missing_texts_are_told_by_the_raw_value(spark):
 def test_line_ends_are_no_part_of_numbers_and_dates(spark):
     df = spark.createDataFrame([("5\n.0", "20200101\n"), ("12.0", "20200229"), ("n/d", "20190229")], "n string, d string")
     assert [tuple(r) for r in df.select(tx.integer("n"), tx.day("d")).collect()] == [(None, None), (12, date(2020, 2, 29)), (None, None)]
+
+
+@pytest.mark.parametrize("chosen", [None, (date(2023, 3, 1), date(2023, 5, 1))])
+def test_reached_months_are_those_filled_and_those_of_the_end(spark, chosen):
+    from dataclasses import replace
+
+    scope = replace(SCOPE, chosen=chosen)
+    stays = base(
+        spark,
+        claim("a", date(2023, 3, 30), date(2023, 5, 2)),
+        claim("b", date(2023, 7, 1), None, billed=3),
+        claim("c", date(2023, 9, 9), date(2023, 8, 1)),
+        claim("d", date(2021, 1, 1), date(2021, 2, 1)),
+        claim("e", date(2023, 12, 30), date(2024, 2, 1)),
+    )
+    ends = stays.filter(F.col("discharge_date").isNotNull()).select(F.trunc("discharge_date", "MM").alias("month_start"))
+    wanted = {r[0] for r in st.stay_months(stays, scope).select("month_start").union(ends).collect()}
+    got = one(st.reached_months(stays, scope), "month_start")
+    assert set(got) == wanted and len(got) == len(wanted)

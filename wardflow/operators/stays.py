@@ -97,6 +97,27 @@ def stay_months(stays: DataFrame, scope: Scope) -> DataFrame:
     )
 
 
+def reached_months(stays: DataFrame, scope: Scope) -> DataFrame:
+    """``month_start`` of the months in which stays count: those they fill, as in :func:`stay_months`, and that of their end.
+
+    Each month once; one pass over the stays finds both kinds.
+    """
+    last_day = F.last_day(F.lit(scope.last_month))
+    free_from = _occupied_until(scope)
+    within = (F.col("admit_date") <= last_day) & (free_from > F.lit(scope.first_month))
+    first = F.greatest(F.col("admit_date"), F.lit(scope.first_month))
+    filled = F.when(within, months_between(first, F.date_sub(free_from, 1))).otherwise(F.array().cast("array<date>"))
+    end = month_of("discharge_date")
+    month = F.col("month_start")
+    return (
+        stays.select(end.alias("end"), F.explode(F.array_union(filled, F.array(end))).alias("month_start"))
+        .filter(counted(month, scope) | (month == F.col("end")))
+        .select("month_start")
+        .dropna()
+        .distinct()
+    )
+
+
 def _extrema(prefix: str, when: Column | None = None) -> list[Column]:
     def pick(c):
         return F.col(c) if when is None else F.when(when, F.col(c))

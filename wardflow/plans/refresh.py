@@ -11,7 +11,7 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardflow.functions.dates import month_of, period_of
+from wardflow.functions.dates import period_of
 from wardflow.operators import stays as s
 from wardflow.plans import store
 from wardflow.plans.capacity import Warehouse, stays_of
@@ -29,15 +29,11 @@ def reached_periods(old: Warehouse, new: Warehouse, settings: Settings, claim_pe
     """
     concerned = [w.admissions.filter(F.col("period").isin(list(claim_periods))).select(*s.STAY) for w in (old, new)]
     keys = concerned[0].unionByName(concerned[1]).distinct()
-    scope, months = settings.scope, []
-    for w in (old, new):
-        stays = stays_of(replace(w, admissions=w.admissions.join(keys, s.STAY, "left_semi")), settings)
-        months.append(s.stay_months(stays, scope).select("month_start"))
-        months.append(stays.filter(F.col("discharge_date").isNotNull()).select(month_of("discharge_date").alias("month_start")))
-    every = months[0]
-    for more in months[1:]:
-        every = every.unionByName(more)
-    found = {r[0] for r in every.select(period_of("month_start")).distinct().collect()}
+    scope = settings.scope
+    before, after = [
+        s.reached_months(stays_of(replace(w, admissions=w.admissions.join(keys, s.STAY, "left_semi")), settings), scope) for w in (old, new)
+    ]
+    found = {r[0] for r in before.union(after).select(period_of("month_start")).collect()}
     return [p for p in scope.periods if p in found]
 
 
