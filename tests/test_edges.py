@@ -359,3 +359,21 @@ def test_reached_months_are_those_filled_and_those_of_the_end(spark, chosen):
     wanted = {r[0] for r in st.stay_months(stays, scope).select("month_start").union(ends).collect()}
     got = one(st.reached_months(stays, scope), "month_start")
     assert set(got) == wanted and len(got) == len(wanted)
+
+
+def test_texts_of_a_row_are_trimmed_as_single_ones(spark):
+    values = ["", "  ", " a ", "\ta", "a\xa0 ", " \t ", "é", " é\u3000", "\x7f", " \x00 ", None, "a b", " \n a\u2003"]
+    df = spark.createDataFrame([(v,) for v in values], "c string")
+    both = df.select(tx.text("c").alias("x"), tx.texts([F.col("c"), F.lit(" z")]).alias("y")).collect()
+    assert [r.y for r in both] == [[r.x, "z"] for r in both]
+    assert [r.x for r in both][:8] == [None, None, "a", "a", "a", None, "é", "é"]
+
+
+def test_numbers_that_get_lost_stop_a_load(spark, tmp_path):
+    from wardflow.plans import load
+
+    fields = "CNES string, CODLEITO string, TP_LEITO string, COMPETEN string, QT_EXIST string, QT_SUS string, own_flag int, _file string, _row long"
+    for beds, month in ((" 1.5 ", "202401"), ("2147483648", "202401"), ("1", " 20241 ")):
+        raw = spark.createDataFrame([("1", "1", "1", "202401", "n/d", "2.0", 1, "f", 0), ("1", "2", "1", month, beds, None, 1, "f", 1)], fields)
+        with pytest.raises(ValueError, match="QT_EXIST': 1" if month == "202401" else "1 periods .* ' 20241 '"):
+            load.load(spark, {"bed": raw}, str(tmp_path / "house"))

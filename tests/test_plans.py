@@ -106,3 +106,22 @@ def test_values_of_one_column_do_not_meet_in_one_task(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" not in text
     assert whole.count("SortMergeJoin") == 1  # the moments of a column with its percentiles, one row each
+
+
+def test_the_jvm_compiles_the_cleaning_of_a_load(spark, sf_dir, tmp_path, monkeypatch):
+    from wardflow import testbed as tb
+    from wardflow.plans import load
+
+    claims = load.consolidate_admissions(tb.raw_admissions(tb.admissions(spark, sf_dir).limit(100)))
+    seen, marked = [], load.marked
+    monkeypatch.setattr(load, "marked", lambda rows, *rest: seen.append(rows) or marked(rows, *rest))
+    load.load(spark, {"admission": claims}, str(tmp_path / "house"), dry_run=True)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        executed = seen[0].select("*")._jdf.queryExecution().executedPlan()
+        debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+        parts = debug.codegenStringSeq(executed)
+        sizes = [parts.apply(k)._3().maxMethodCodeSize() for k in range(parts.size())]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sizes and max(sizes) <= 8000  # beyond, the JVM interprets the method for every row

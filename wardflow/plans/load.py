@@ -69,8 +69,8 @@ def cleaned(raw: DataFrame, spec: TableSpec, carry: list[str] | None = None) ->
     return checks.drop_null_keys(typed(whole, spec, carry), others) if others else typed(whole, spec, carry)
 
 
-def typed(raw: DataFrame, spec: TableSpec, carry: list[str] | None = None) -> DataFrame:
-    """Warehouse columns of the raw rows.
+def typed(raw: DataFrame, spec: TableSpec, carry: list[str] | None = None, checked: bool = False) -> DataFrame:
+    """Warehouse columns of the raw rows; ``checked`` adds the columns that :func:`checks.typed_marks` counts.
 
     Cleaning goes in steps, each reading the columns of the one before, so that no expression is
     evaluated once per mention of its result.
@@ -84,7 +84,7 @@ def typed(raw: DataFrame, spec: TableSpec, carry: list[str] | None = None) -> Da
 
     # One expression trims all texts: the same few steps per value, instead of generated code that grows with the columns
     # until the JVM no longer compiles it.
-    trimmed = F.transform(F.array(*[F.col(f.source).cast("string") for f in texts]), tx.text).alias("_texts")
+    trimmed = tx.texts([F.col(f.source) for f in texts]).alias("_texts")
     rows = raw.select(trimmed, *[date(f).alias(f.name) for f in dates], *(carry or []))
     at = {f.name: F.col("_texts")[k] for k, f in enumerate(texts)}
     rows = rows.select(*[at.get(f.name, F.col(f.name)).alias(f.name) for f in spec.fields], *(carry or []))
@@ -94,9 +94,12 @@ def typed(raw: DataFrame, spec: TableSpec, carry: list[str] | None = None) -> Da
         "period": {f.name: tx.digits(f.name) for f in spec.fields_of("period")},
         "integer": {f.name: tx.whole(f.name) for f in spec.fields_of("integer")},
     }
+    numbers = spec.fields_of("integer") if checked else []
+    steps["integer"] |= {f"_text_{f.name}": F.col(f.name) for f in numbers}
     for step in steps.values():
         rows = rows.withColumns(step)
-    return rows
+    bad = {f"_bad_{f.name}": tx.lost_number(F.col(f"_text_{f.name}"), F.col(f.name)) for f in numbers}
+    return rows.withColumns(bad).drop(*[f"_text_{f.name}" for f in numbers]) if bad else rows
 
 
 def _order(raw: DataFrame, order: list[str] | None) -> list[str]:
@@ -208,9 +211,11 @@ def _stage_table(spark, raw, spec, staging, known):
     """
     checks.require_columns(raw, [f.source for f in spec.fields], spec.name)
     order = [c for c in (landed.FILE, landed.ROW) if c in raw.columns] if spec.name == "admission" else _order(raw, None)
-    before, keyed, after = Observation(), Observation(), Observation()
-    watched = raw.observe(before, *checks.raw_marks(spec))
-    rows = typed(watched, spec, order).observe(keyed, F.count_if(checks.any_null(spec.key)).alias("null_keys"))
+    before, after = Observation(), Observation()
+    landed_as = {f"_raw_{f.name}": F.col(f.source).cast("string") for f in spec.fields_of("period")}
+    rows = typed(raw.withColumns(landed_as), spec, [*order, *landed_as], checked=True)
+    # Marks of the cleaned columns: those of the raw ones would clean them again, in one method too large for the JVM to compile.
+    rows = rows.observe(before, *checks.typed_marks(spec)).select(*spec.columns, *order)
     reduced = marked(REDUCE[spec.name](checks.drop_null_keys(rows, list(spec.key)), spec, order), spec, known)
     counts = [F.count_if(F.col(REJECT) == c).alias(f"r_{c}") for c in spec.domains]
     largest = [F.max("_rows").alias("most")] if "_rows" in reduced.columns else []
@@ -228,7 +233,7 @@ def _stage_table(spark, raw, spec, staging, known):
         for c, n in rejected.items()
         if n
     }
-    read, null_keys, left = before.get["rows_read"], keyed.get["null_keys"], after.get["rows"]
+    read, null_keys, left = before.get["rows_read"], before.get["null_keys"], after.get["rows"]
     report = TableReport(read, null_keys, read - null_keys - left, rejected, left - sum(rejected.values()), top)
     return staged, report
 
