@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from wardflow.functions import numbers as nb, text as tx
 from wardflow.operators import calendar as cal, checks, dedup, profile, stays as st
 from wardflow.operators.upsert import upsert
-from wardflow.plans import capacity, dashboard, diagnosis, stay_length
+from wardflow.plans import capacity, dashboard, diagnosis, load, stay_length
 from wardflow.plans.capacity import Warehouse
+from wardflow.schemas import ADMISSION
 from wardflow.settings import Scope, Settings
 from wardflow.sources import domains
 
@@ -337,6 +338,20 @@ def test_missing_texts_are_told_by_the_raw_value(spark):
     assert one(df.select((tx.has_text("v") == tx.text("v").isNotNull()).alias("same")), "same") == [True] * len(raw)
 
 
+def test_few_texts_are_trimmed_like_many(spark):
+    raw = [None, "", " ", "\t\xa0", " \u3000\n ", "a", " a ", " \t a\xa0 ", "\xa0.0", "\x7f", " é "]
+    df = spark.createDataFrame([(v,) for v in raw], "v string").select("v", tx.bare("v").alias("b"))
+    df = df.select("v", tx.nearly_bare("b").alias("b"))
+    found = df.select(tx.text_of_bare("b").alias("one"), tx.texts([F.col("v")])[0].alias("many"), tx.text("v").alias("text")).collect()
+    assert all(r.one == r.many == r.text for r in found) and found[7].one == "a"
+
+
+def test_summary_counts_each_complete_key_once(spark):
+    rows = [("1", "2023-06", "1"), (" 1 ", "202306", "1.0"), ("1", "202306", "2"), ("\t", "202306", "1"), ("2", None, "1"), (None, None, None)]
+    raw = spark.createDataFrame(rows, "N_AIH string, COMPETEN string, IDENT string")
+    assert [tuple(r) for r in load.load_summary({"admission": (raw, ADMISSION)}).collect()] == [("admission", 2)]
+
+
 def test_line_ends_are_no_part_of_numbers_and_dates(spark):
     df = spark.createDataFrame([("5\n.0", "20200101\n"), ("12.0", "20200229"), ("n/d", "20190229")], "n string, d string")
     assert [tuple(r) for r in df.select(tx.integer("n"), tx.day("d")).collect()] == [(None, None), (12, date(2020, 2, 29)), (None, None)]

@@ -94,6 +94,12 @@ def test_cleaning_is_not_repeated_for_missing_keys(spark, sf_dir):
         assert filters and not any("transform(" in line for line in filters), name
 
 
+def test_summary_makes_the_keys_of_a_claim_once(spark, sf_dir):
+    text = plan(QUERIES["load_summary"](spark, sf_dir))
+    assert "transform(" not in text  # interpreted for every row
+    assert not any("ltrim(" in line for line in text.splitlines() if "Filter" in line)
+
+
 def test_values_of_one_column_do_not_meet_in_one_task(spark):
     from wardflow.operators import profile
 

@@ -45,6 +45,23 @@ def texts(columns: list[Column]) -> Column:
     return F.transform(trimmed, lambda t: F.when(t != "", t))
 
 
+def bare(c) -> Column:
+    """Text without the blanks around it, for :func:`text_of_bare`."""
+    return F.btrim(_col(c).cast("string"))
+
+
+def nearly_bare(c) -> Column:
+    """Of a column of :func:`bare` texts, those with tabs and line ends around them without these."""
+    t = _col(c)
+    return F.when(_plain(t), t).otherwise(F.btrim(t, F.lit(" \t\r\n")))
+
+
+def text_of_bare(c) -> Column:
+    """:func:`text` of a column that holds :func:`bare` or :func:`nearly_bare` texts: generated code, for few columns at a time."""
+    t = _col(c)
+    return F.when(_plain(t), t).otherwise(F.nullif(F.btrim(t, F.lit(WHITE_SPACE)), F.lit("")))
+
+
 def has_text(c) -> Column:
     """True where :func:`text` is not null."""
     return F.coalesce(F.ltrim(_col(c).cast("string"), F.lit(WHITE_SPACE)) != "", F.lit(False))

@@ -55,6 +55,9 @@ def consolidate_facilities(raw: DataFrame) -> DataFrame:
 
 # --- consolidated tables to warehouse rows ----------------------------------------------------
 
+#: Texts that are trimmed column by column, in generated code; an array of more is trimmed by functions that Spark interprets.
+FEW_TEXTS = 4
+
 
 def cleaned(raw: DataFrame, spec: TableSpec, carry: list[str] | None = None) -> DataFrame:
     """Warehouse columns of the raw rows that have a complete key; ``carry`` columns come along.
@@ -82,11 +85,17 @@ def typed(raw: DataFrame, spec: TableSpec, carry: list[str] | None = None, check
     def date(f):
         return F.col(f.source) if types[f.source] == "date" else tx.day(f.source, "yyyy-MM-dd")
 
-    # One expression trims all texts: the same few steps per value, instead of generated code that grows with the columns
-    # until the JVM no longer compiles it.
-    trimmed = tx.texts([F.col(f.source) for f in texts]).alias("_texts")
-    rows = raw.select(trimmed, *[date(f).alias(f.name) for f in dates], *(carry or []))
-    at = {f.name: F.col("_texts")[k] for k, f in enumerate(texts)}
+    if len(texts) <= FEW_TEXTS:
+        trimmed = [tx.bare(f.source).alias(f"_bare_{f.name}") for f in texts]
+        at = {f.name: tx.text_of_bare(f"_bare_{f.name}") for f in texts}
+    else:
+        # One expression trims all texts: the same few steps per value, instead of generated code that grows with the columns
+        # until the JVM no longer compiles it.
+        trimmed = [tx.texts([F.col(f.source) for f in texts]).alias("_texts")]
+        at = {f.name: F.col("_texts")[k] for k, f in enumerate(texts)}
+    rows = raw.select(*trimmed, *[date(f).alias(f.name) for f in dates], *(carry or []))
+    if len(texts) <= FEW_TEXTS:
+        rows = rows.withColumns({f"_bare_{f.name}": tx.nearly_bare(f"_bare_{f.name}") for f in texts})
     rows = rows.select(*[at.get(f.name, F.col(f.name)).alias(f.name) for f in spec.fields], *(carry or []))
     steps = {
         "code": {f.name: tx.without_fraction(f.name) for f in spec.fields_of("code")},
@@ -281,12 +290,14 @@ def load(
 def load_summary(raw: dict[str, tuple[DataFrame, TableSpec]]) -> DataFrame:
     """Rows per table that a load of these raw rows stores, before rejects: one for each complete key.
 
-    Only the key columns are cleaned and counted, as every table keeps one row of a key. What a warehouse holds is told by
-    :func:`wardflow.plans.store.summary` without reading rows.
+    Only the key columns are cleaned and counted, as every table keeps one row of a key. Incomplete keys are left out where the
+    keys are counted: a filter would move down to the raw rows and make their columns a second time. What a warehouse holds is
+    told by :func:`wardflow.plans.store.summary` without reading rows.
     """
     counts = []
     for name, (rows, spec) in raw.items():
         keys = replace(spec, fields=tuple(f for f in spec.fields if f.name in spec.key))
-        distinct = cleaned(rows, keys).select(*spec.key).distinct()
-        counts.append(distinct.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count"))
+        distinct = typed(rows, keys).select(*spec.key).distinct()
+        complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in spec.key])
+        counts.append(distinct.agg(F.count_if(complete).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count"))
     return reduce(DataFrame.unionByName, counts)
