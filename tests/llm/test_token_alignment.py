@@ -109,6 +109,23 @@ def test_windows_are_looked_up_while_that_answers_documents(spark, sf_dir):
     assert len({same.document(*ids[0])[2] for _ in range(40)}) == 1 and same._known
 
 
+def test_every_document_is_cut_into_windows():
+    both, cut = token_alignment.sides(A, B), []
+
+    class Watched(token_alignment.Aligner):
+        def _looked_up(self, *of):
+            cut.append(len(of[2]) - 1)
+            return super()._looked_up(*of)
+
+    texts = [f"one two w{k}x{k * k} unlike{k} all  others\n{k}" for k in range(300)]
+    watched, alone = Watched(both), []
+    for a, b in both.encode(texts):
+        got, own = watched.document(a, b), token_alignment.Aligner(both).document(a, b)
+        assert got[:3] == own[:3] and all(x.tolist() == y.tolist() for x, y in zip(got[3:], own[3:]))
+        alone.append(own[1])
+    assert len(cut) == len(texts) and min(cut) > 2 and min(alone) > 2
+
+
 def test_windows_end_at_shared_ends(spark):
     both = token_alignment.sides(A, B)
     ((a, b),) = both.encode(["one two  three\nfour"])
